@@ -1,5 +1,5 @@
 """Registered queries with their SQL twins, on inputs derived from the driver tables."""
 
-from . import records
+from . import files, records, vectors
 
-MODULES = [records]
+MODULES = [records, files, vectors]
