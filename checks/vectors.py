@@ -337,15 +337,25 @@ def search_filtered(spark, sf):
     return search.result_projection(near).select(*result_columns())
 
 
-@query("search_filtered_overfetch", f"""WITH {VT}, {CENTER_Q}, {knn_sql(DATES, '20')},
-  v AS (SELECT * FROM ranked), cut AS (SELECT *, row_number() OVER (ORDER BY distance, gkg_record_id) AS place FROM v
-    WHERE {FILTERS} QUALIFY place <= 10)
-  {RESULT_SQL.replace('CAST(rank AS', 'CAST(place AS').replace('FROM ranked', 'FROM cut')}""")
+LOOSE = "list_has_any(v.countries, ['C1', 'C2', 'C3', 'C4']) AND contains(lower(array_to_string(v.themes, ' ')), 'topic_')"
+
+
+@query("search_filtered_overfetch", f"""WITH {VT}, {LABEL_Q}, {knn_sql(DATES, '20')},
+  cut AS (SELECT v.* EXCLUDE (rank), row_number() OVER (PARTITION BY qid ORDER BY distance, gkg_record_id) AS rank
+    FROM ranked v WHERE {LOOSE} QUALIFY row_number() OVER (PARTITION BY qid ORDER BY distance, gkg_record_id) <= 10)
+  {RESULT_SQL.replace('FROM ranked', 'FROM cut').replace('SELECT ', 'SELECT qid, ', 1)}""")
 def search_filtered_overfetch(spark, sf):
-    near = search.knn_search(
-        inputs.vectors(spark, sf), inputs.center(spark, sf), 10, mode="overfetch", **ARGS
+    """Filters applied after twice the limit was fetched: matches further down are lost."""
+    asked = inputs.label_centers(spark, sf).withColumns(
+        {
+            "date_from": F.lit("20240215"),
+            "date_to": F.lit("20241020"),
+            "countries": F.array(*[F.lit(c) for c in ("C1", "C2", "C3", "C4")]),
+            "themes": F.array(F.lit("Topic_")),
+        }
     )
-    return search.result_projection(near).select(*result_columns())
+    near = search.knn_batch(inputs.vectors(spark, sf), asked, mode="overfetch")
+    return search.result_projection(near).select(*result_columns("qid"))
 
 
 @query("filter_search_dates", f"WITH {VT} SELECT gkg_record_id, date FROM vt v WHERE {DATES}")
