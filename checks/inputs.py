@@ -30,6 +30,11 @@ def _two(expr: str) -> str:
     return f"lpad(CAST({expr} AS string), 2, '0')"
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents, spread over the cores: the driver's file is one row group."""
+    return table(spark, sf, "documents").repartition(spark.sparkContext.defaultParallelism)
+
+
 # ---------------------------------------------------------------- record lines
 
 _ID = (
@@ -222,7 +227,9 @@ def _stored(
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _WRITTEN:
         path = scratch_path(spark, f"input-{name}")
-        rows().write.partitionBy(*by).parquet(path)
+        # the driver tables are single small files: spread them as a real feed would be
+        spread = rows().repartition(spark.sparkContext.defaultParallelism)
+        spread.write.partitionBy(*by).parquet(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
 

@@ -465,12 +465,18 @@ def sink_parsed(spark, sf):
     return parsed.read_parsed(spark, path).select(*parsed_columns("date_partition", "source_file"))
 
 
+_JSON: dict[tuple[str, str], str] = {}
+
+
 @query(
     "src_parsed_json",
     f"WITH {RECORDS} {PARSED_SQL}, line_number, source_file FROM recs",
 )
 def src_parsed_json(spark, sf):
-    path, _ = _store(spark, sf, "json")
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _JSON:
+        _JSON[key], _ = _store(spark, sf, "json")
+    path = _JSON[key]
     return parsed.read_parsed(spark, path, "json").select(
         *parsed_columns("line_number", "source_file")
     )

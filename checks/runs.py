@@ -30,7 +30,7 @@ ARCHIVE = """archives AS (SELECT doc_id, text, '2024' || lpad(CAST(1 + doc_id %
 
 def archives(spark, sf):
     """Every document as a landed file: zipped, plain, without entry or damaged."""
-    docs = inputs.table(spark, sf, "documents")
+    docs = inputs.documents(spark, sf)
     kind = (
         F.when(F.col("doc_id") % 23 == 0, "plain")
         .when(F.col("doc_id") % 29 == 1, "empty")

@@ -54,7 +54,7 @@ def assemble_text(spark, sf):
 
 @query("text_hash", "SELECT doc_id, md5(text) AS text_hash FROM documents")
 def text_hash(spark, sf):
-    docs = inputs.table(spark, sf, "documents")
+    docs = inputs.documents(spark, sf)
     return docs.select("doc_id", assemble.text_hash(F.col("text")).alias("text_hash"))
 
 
@@ -66,7 +66,7 @@ DOC_WORDS = "list_filter(regexp_split_to_array({}, '\\s+'), lambda x: x <> '')"
     f"SELECT doc_id, CAST(len({DOC_WORDS.format('text')}) AS INTEGER) AS token_count FROM documents",
 )
 def token_count(spark, sf):
-    docs = inputs.table(spark, sf, "documents")
+    docs = inputs.documents(spark, sf)
     return docs.select("doc_id", assemble.token_count(F.col("text")).alias("token_count"))
 
 
@@ -106,7 +106,7 @@ DUCK_VECTOR = (
     f"WITH {duck_embedding('documents', 'doc_id', 'text')} SELECT doc_id, {DUCK_VECTOR} FROM e_documents",
 )
 def embed_texts(spark, sf):
-    docs = inputs.table(spark, sf, "documents")
+    docs = inputs.documents(spark, sf)
     return embed.embed_texts(docs, HASHING).select("doc_id", vector_text())
 
 
@@ -218,7 +218,7 @@ IDS = "ids AS (SELECT doc_id AS position, 'R' || CAST(doc_id - doc_id % 2 AS VAR
 
 def ids(spark, sf):
     """Ids asked for, in their order, with copies; some are stored."""
-    docs = inputs.table(spark, sf, "documents")
+    docs = inputs.documents(spark, sf)
     even = F.col("doc_id") - F.col("doc_id") % 2
     return docs.select(
         F.col("doc_id").alias("position"),
@@ -413,7 +413,7 @@ REQUEST_FILTER = """(q.date_from IS NULL OR v.date >= q.date_from) AND (q.date_t
 
 def text_store(spark, sf):
     """The vector table with the documents' texts embedded."""
-    docs = inputs.table(spark, sf, "documents").select(
+    docs = inputs.documents(spark, sf).select(
         F.concat(F.lit("R"), F.col("doc_id").cast("string")).alias("gkg_record_id"), "text"
     )
     rows = inputs.vectors(spark, sf).drop("vector").join(docs, "gkg_record_id")

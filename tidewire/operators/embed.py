@@ -83,8 +83,11 @@ def embed_texts(df: DataFrame, embedder: Embedder, text: str = "text") -> DataFr
 
 def with_text(records: DataFrame) -> DataFrame:
     """Add the embedding text, its hash and its word count."""
-    text = records.withColumn("text", assemble.text_of_record())
-    return text.withColumns(
+    return _hashed(records.withColumn("text", assemble.text_of_record()))
+
+
+def _hashed(texts: DataFrame) -> DataFrame:
+    return texts.withColumns(
         {
             "text_hash": assemble.text_hash(F.col("text")),
             "token_count": assemble.token_count(F.col("text")),
@@ -95,8 +98,14 @@ def with_text(records: DataFrame) -> DataFrame:
 def embed_records(records: DataFrame, embedder: Embedder) -> DataFrame:
     """Record columns with text, text_hash, token_count and vector; records of
     trivial text are left out."""
-    kept = with_text(records).where(assemble.not_trivial(F.col("text")))
-    return embedder.embed(kept, "text", "vector")
+    text = records.withColumn("text", assemble.text_of_record())
+    # A plain filter on the text would be pushed below the parsers, which would
+    # then all run twice.  A generator keeps it where it is.
+    kept = text.select(
+        *records.columns,
+        F.explode(F.filter(F.array("text"), assemble.not_trivial)).alias("text"),
+    )
+    return embedder.embed(_hashed(kept), "text", "vector")
 
 
 def embedding_results(embedded: DataFrame) -> DataFrame:

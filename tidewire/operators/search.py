@@ -335,44 +335,61 @@ def knn_batch(
     ranks twice the limit under the date filter only, then applies the country
     and theme filters and cuts to the limit; deeper matches are lost.
     """
-    if mode not in ("prefilter", "overfetch"):
-        raise ValueError(f"Unknown mode: {mode}")
-    exact = mode == "prefilter"
-    payload = list(payload or [c for c in RESULT_COLUMNS if c in store.columns])
-    if key not in payload:
-        payload = [key] + payload
-    if not exact:
-        payload += [c for c in ("countries", "themes") if c not in payload]
+    plan = _Plan(store, mode, payload, key, vector)
     asked = _with_request_columns(requests)
-
-    def keep(r) -> int:
-        return int(r["limit"]) if exact else 2 * int(r["limit"])
-
-    ranked = _all_passes(store, asked, payload, keep, exact, key, vector)
-    return ranked if exact else _postfilter(ranked, asked, key)
+    head = asked.limit(BLOCK + 1).collect()
+    # more than a block: stream them, one partition of requests at a time
+    rows: Iterable = head if len(head) <= BLOCK else asked.toLocalIterator()
+    ranked = plan.answer(rows, len(head) <= BLOCK)
+    return ranked if plan.exact else _postfilter(ranked, asked, key)
 
 
-def _all_passes(store, asked, payload, keep, exact, key, vector) -> DataFrame:
-    spark: SparkSession = store.sparkSession
-    head = asked.limit(BLOCK + 1).collect()
-    if len(head) <= BLOCK:
-        blocks = list(_blocks(head, keep, exact))
-        if len(blocks) == 1:
-            return _score_pass(store, blocks[0], payload, key, vector)
-        rows: Iterable = head
-    else:
-        rows = asked.toLocalIterator()
-    path = scratch_path(spark, "knn")
-    schema = None
-    for block in _blocks(rows, keep, exact):
-        part = _score_pass(store, block, payload, key, vector)
-        schema = part.schema
-        part.write.mode("append").parquet(path)
-    if schema is None:
-        fields = [T.StructField("qid", T.StringType()), T.StructField("distance", T.DoubleType())]
-        fields += [store.schema[c] for c in payload] + [T.StructField("rank", T.IntegerType())]
-        return spark.createDataFrame([], T.StructType(fields))
-    return spark.read.schema(schema).parquet(path)
+@dataclass
+class _Plan:
+    """What all passes over the table have in common."""
+
+    store: DataFrame
+    mode: str
+    payload: Iterable[str] | None
+    key: str
+    vector: str
+
+    def __post_init__(self) -> None:
+        if self.mode not in ("prefilter", "overfetch"):
+            raise ValueError(f"Unknown mode: {self.mode}")
+        self.exact = self.mode == "prefilter"
+        columns = list(self.payload or [c for c in RESULT_COLUMNS if c in self.store.columns])
+        needed = [self.key] if self.exact else [self.key, "countries", "themes"]
+        self.payload = [c for c in needed if c not in columns] + columns
+
+    def keep(self, request) -> int:
+        return int(request["limit"]) * (1 if self.exact else 2)
+
+    def answer(self, rows: Iterable, few: bool) -> DataFrame:
+        """Ranked rows of all requests; one pass stays lazy, more are stored."""
+        spark: SparkSession = self.store.sparkSession
+        blocks = _blocks(rows, self.keep, self.exact)
+        if few:
+            blocks = list(blocks)
+            if len(blocks) == 1:
+                return self.score(blocks[0])
+        path = scratch_path(spark, "knn")
+        schema = None
+        for block in blocks:
+            part = self.score(block)
+            schema = part.schema
+            part.write.mode("append").parquet(path)
+        if schema is None:
+            names = ["qid", "distance", *self.payload, "rank"]
+            kinds = {"qid": T.StringType(), "distance": T.DoubleType(), "rank": T.IntegerType()}
+            fields = [
+                T.StructField(n, kinds[n]) if n in kinds else self.store.schema[n] for n in names
+            ]
+            return spark.createDataFrame([], T.StructType(fields))
+        return spark.read.schema(schema).parquet(path)
+
+    def score(self, block: _Block) -> DataFrame:
+        return _score_pass(self.store, block, self.payload, self.key, self.vector)
 
 
 def _postfilter(ranked: DataFrame, asked: DataFrame, key: str) -> DataFrame:
@@ -418,22 +435,24 @@ def knn_search(
     vector: str = "vector",
 ) -> DataFrame:
     """Nearest rows to one vector."""
-    request = store.sparkSession.createDataFrame(
-        [
-            (
-                "q",
-                [float(x) for x in query_vector],
-                limit,
-                date_from,
-                date_to,
-                list(countries or []),
-                list(themes or []),
-            )
-        ],
-        "qid string, vector array<double>, limit int, date_from string, date_to string, "
-        "countries array<string>, themes array<string>",
-    )
-    return knn_batch(store, request, mode, payload, key, vector).drop("qid")
+    request = {
+        "qid": "q",
+        "vector": [float(x) for x in query_vector],
+        "limit": limit,
+        "date_from": date_from,
+        "date_to": date_to,
+        "countries": list(countries or []),
+        "themes": list(themes or []),
+    }
+    plan = _Plan(store, mode, payload, key, vector)
+    ranked = plan.answer([request], True)
+    if not plan.exact:
+        asked = store.sparkSession.createDataFrame(
+            [tuple(request[c] for c in ("qid", "limit", "countries", "themes"))],
+            "qid string, limit int, countries array<string>, themes array<string>",
+        )
+        ranked = _postfilter(ranked, asked, key)
+    return ranked.drop("qid")
 
 
 def score(distance: Column) -> Column:
