@@ -17,7 +17,7 @@ from .vectors import CENTER_Q, VT, dist
 
 @query("adv_mrl", f"""WITH short AS (SELECT vec_id, list_transform(embedding[1:16], lambda x: CAST(x AS DOUBLE)) AS h FROM embeddings),
   cut AS (SELECT vec_id, list_transform(h, lambda x: CAST(x / sqrt(list_inner_product(h, h)) AS FLOAT)) AS vector FROM short)
-  SELECT vec_id, list_sum(list_transform(vector, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT))) AS total,
+  SELECT vec_id, CAST(list_sum(list_transform(vector, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT))) AS BIGINT) AS total,
     len(vector) AS width FROM cut""")
 def adv_mrl(spark, sf):
     short = rt.truncate_vectors(inputs.table(spark, sf, "embeddings"), 16, "embedding")

@@ -237,7 +237,7 @@ def parse_to_completed(spark, sf):
 @query(
     "run_stats",
     f"""WITH {RECORDS}, f AS (SELECT count(*) AS n FROM lines) SELECT 'backfill' AS mode, '20240101' AS date_from,
-      '20241231' AS date_to, 2 AS runs, TRUE AS counted FROM f""",
+      '20241231' AS date_to, CAST(2 AS BIGINT) AS runs, TRUE AS counted FROM f""",
 )
 def run_stats(spark, sf):
     """The stored run rows; all files are new in the first run only."""

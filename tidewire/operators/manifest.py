@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EVENT_LOG, STATUSES
-from ..session import hadoop_path, path_exists, remove_path
+from ..session import hadoop_path, path_exists, remove_path, scratch_path
 
 MAX_RETRIES = 3
 DEFAULT_LIMIT = 100
@@ -316,6 +316,13 @@ class ManifestLog:
     def state(self) -> DataFrame:
         return fold_state(self.events())
 
+    def snapshot(self) -> DataFrame:
+        """The state as of now, folded once and stored for several uses."""
+        path = scratch_path(self.spark, "state")
+        state = self.state()
+        state.write.parquet(path)
+        return self.spark.read.schema(state.schema).parquet(path)
+
     def next_seq(self) -> int:
         last = self.events().agg(F.max("seq").alias("s")).first()["s"]
         return 1 if last is None else last + 1

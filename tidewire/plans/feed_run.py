@@ -8,8 +8,10 @@ again.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ from ..session import remove_path, scratch_path
 from ..sources import archive, parsed
 from ..sources.filelist import read_file_list
 from ..sources.tables import small_side
-from ..sources.vectors import VectorTable, stored_among, vec_row_shape, vec_stats
+from ..sources.vectors import VectorTable, folder_month, stored_among, vec_row_shape, vec_stats
 
 FETCH_BATCH = 20_000  # files per fetch job; their paths pass through the driver
 DEFAULT_DAYS = 30
@@ -114,65 +116,72 @@ def sync(
     """Track the files of a list that are not tracked yet (checksum included)."""
     log = mf.ManifestLog(spark, paths.manifest)
     files = read_file_list(spark, paths.landing, source, file_type, date_from, date_to)
-    state = log.state()
+    state = log.snapshot()
     stats = mf.sync_stats(files, state).first().asDict()
     log.append(mf.insert_ignore(files, state, now, log.next_seq()))
     return stats
 
 
+def _due(state: DataFrame, landed: DataFrame, now: datetime) -> DataFrame:
+    """Landed files to fetch, oldest first: pending ones, downloads that got
+    stuck, and failures that may be tried again."""
+    stuck = mf.stale_downloads(state, now)
+    again = mf.retryable_files(state, limit=None)
+    due = state.where(F.col("status") == "pending").unionByName(stuck).unionByName(again)
+    one_path = landed.groupBy("source_file").agg(F.min("path").alias("path"))
+    return (
+        due.withColumn("source_file", urls.url_filename(F.col("file_url")))
+        .join(one_path, "source_file")
+        .orderBy(F.asc_nulls_first("date_partition"), "created_at", "file_url")
+        .select("file_url", "checksum_md5", "path", "source_file")
+    )
+
+
+def _chunks(rows: Iterable, size: int) -> Iterator[list]:
+    rows = iter(rows)
+    while chunk := list(islice(rows, size)):
+        yield chunk
+
+
 def fetch(
     spark: SparkSession, paths: FeedPaths, now: datetime, max_files: int | None = None
 ) -> dict:
-    """Unpack landed files that are pending or may be tried again.
+    """Unpack landed files that are due, ``FETCH_BATCH`` of them per job.
 
-    A file that has not landed yet stays as it is.
+    A file that has not landed yet stays as it is.  Each file is tried once.
     """
     log = mf.ManifestLog(spark, paths.manifest)
-    log.append(mf.reset_stale(log.state(), now, seq=log.next_seq()))
-    landed = archive.list_landed(spark, paths.archives)
+    state, seq = log.snapshot(), log.next_seq()
+    due = _due(state, archive.list_landed(spark, paths.archives), now)
+    if max_files:
+        due = due.limit(max_files)
+    log.append(mf.reset_stale(state, now, seq=seq))
     done = {"files_downloaded": 0, "download_errors": 0}
-    tried = 0
-    retry = mf.retryable_files(log.state(), limit=None).select("file_url")
-    again = scratch_path(spark, "retry")
-    retry.write.parquet(again)  # failures of this very run are not retried in it
-    while not max_files or tried < max_files:
-        room = min(FETCH_BATCH, max_files - tried) if max_files else FETCH_BATCH
-        state = log.state()
-        due = state.where(F.col("status") == "pending").unionByName(
-            state.where(F.col("status") == "failed").join(
-                spark.read.schema("file_url string").parquet(again), "file_url", "left_semi"
-            )
-        )
-        if tried:
-            due = due.where((F.col("updated_at") < mf._ts(now)) | (F.col("status") == "pending"))
-        plan = (
-            due.withColumn("source_file", urls.url_filename(F.col("file_url")))
-            .join(landed.groupBy("source_file").agg(F.min("path").alias("path")), "source_file")
-            .orderBy(F.asc_nulls_first("date_partition"), "created_at", "file_url")
-            .limit(room)
-            .select("file_url", "checksum_md5", "path")
-            .collect()
-        )
-        if not plan:
-            break
-        tried += len(plan)
+    for chunk in _chunks(due.toLocalIterator(), FETCH_BATCH):
+        seq += 2
         files = spark.createDataFrame(
-            [(r["file_url"], r["checksum_md5"]) for r in plan],
-            "file_url string, checksum_md5 string",
+            [(r["file_url"], r["checksum_md5"], r["source_file"]) for r in chunk],
+            "file_url string, checksum_md5 string, source_file string",
         )
-        log.append(mf.claim(files, now, log.next_seq()))
+        log.append(mf.claim(files, now, seq - 1))
         archive.write_raw(
-            archive.archive_lines(archive.read_archives(spark, [r["path"] for r in plan])),
+            archive.archive_lines(archive.read_archives(spark, [r["path"] for r in chunk])),
             paths.raw,
         )
-        names = files.select(urls.url_filename(F.col("file_url")).alias("source_file")).distinct()
-        results = archive.checksum_join(archive.read_raw_of(spark, paths.raw, names), files)
-        log.append(mf.update_status(results, log.state(), now, log.next_seq()))
+        names = files.select("source_file").distinct()
+        checked = scratch_path(spark, "fetched")
+        archive.checksum_join(
+            archive.read_raw_of(spark, paths.raw, names), files.drop("source_file")
+        ).write.parquet(checked)
+        results = spark.read.schema(
+            "file_url string, status string, file_size_bytes bigint, error_message string"
+        ).parquet(checked)
+        log.append(mf.update_status(results, state, now, seq))
         totals = results.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()
         counts = {r["status"]: r["n"] for r in totals}
         done["files_downloaded"] += counts.get("downloaded", 0)
         done["download_errors"] += counts.get("failed", 0)
-    remove_path(spark, again)
+        remove_path(spark, checked)
     return done
 
 
@@ -186,7 +195,7 @@ def parse_to_completed(
     """Parse every downloaded file; each becomes completed with its count, or
     failed with its message.  Files without a date are left alone."""
     log = mf.ManifestLog(spark, paths.manifest)
-    state = log.state()
+    state = log.snapshot()
     todo = (
         mf.files_by_status(state, "downloaded", max_files)
         .where(F.col("date_partition").isNotNull())
@@ -242,13 +251,21 @@ def parse_to_completed(
 
 def records_to_embed(spark: SparkSession, paths: FeedPaths, files: DataFrame) -> DataFrame:
     """Records of the given completed files (a stored list of source_file and
-    date_partition): what is stored for them, or a fresh parse where nothing is."""
+    date_partition): what is stored for them, or a fresh parse where nothing is.
+
+    Which files need parsing is settled by name first, so raw lines are read
+    for those alone.
+    """
     stored = parsed.read_parsed_of(spark, paths.parsed, files)
-    raw = archive.read_raw_of(spark, paths.raw, files)
+    missing = files.join(stored.select("source_file").distinct(), "source_file", "left_anti")
+    path = scratch_path(spark, "unparsed")
+    missing.select("source_file", "date_partition").write.parquet(path)
+    unparsed = spark.read.schema("source_file string, date_partition string").parquet(path)
+    raw = archive.read_raw_of(spark, paths.raw, unparsed)
     lines = raw.where(F.col("line_number") > 0).select(
         "source_file", "date_partition", "line_number", "value"
     )
-    return parsed.parsed_or_raw(stored, lines)
+    return stored.unionByName(parsed.fresh_records(lines, stored))
 
 
 def embed_incremental(records: DataFrame, table: VectorTable, embedder: Embedder) -> dict:
@@ -268,7 +285,10 @@ def embed_incremental(records: DataFrame, table: VectorTable, embedder: Embedder
         F.col("source_file"),
         F.desc_nulls_last("line_number"),
     )
-    rows = vec_row_shape(embed_records(fresh, embedder))
+    # Few and well-sized files per month: Spark splits big months, joins small
+    # ones.  Done before embedding, while rows are still narrow.
+    month = fresh.withColumn("_month", folder_month(F.col("date_str"))).hint("rebalance", "_month")
+    rows = vec_row_shape(embed_records(month, embedder))
     written = Observation("embedded")
     table.append(rows.observe(written, F.count(F.lit(1)).alias("n")))
     remove_path(spark, path)

@@ -140,12 +140,20 @@ def parsed_from_json(lines: DataFrame, value: str = "value") -> DataFrame:
 # ---------------------------------------------------------------- parsed or raw
 
 
+def fresh_records(raw_lines: DataFrame, like: DataFrame) -> DataFrame:
+    """Raw lines parsed into the columns of the stored records ``like``."""
+    carried = [c for c in raw_lines.columns if c != "value" and c in like.columns]
+    fresh = project_parsed(parse_records(raw_lines), *carried)
+    absent = [c for c in like.columns if c not in fresh.columns]
+    return fresh.select(
+        "*", *[F.lit(None).cast(like.schema[c].dataType).alias(c) for c in absent]
+    ).select(like.columns)
+
+
 def parsed_or_raw(
     parsed: DataFrame, raw_lines: DataFrame, key: str = "source_file"
 ) -> DataFrame:
     """Stored records, plus a fresh parse of the files nothing is stored for."""
     stored = parsed.select(key).distinct()
     missing = raw_lines.join(stored, key, "left_anti")
-    carried = [c for c in missing.columns if c != "value" and c in parsed.columns]
-    fresh = project_parsed(parse_records(missing), *carried)
-    return parsed.unionByName(fresh, allowMissingColumns=True)
+    return parsed.unionByName(fresh_records(missing, parsed))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fields import month_partition
 from ..operators.embed import last_per_id
 from ..schemas import DEFAULT_DIMENSIONS, VECTOR_COLUMNS, VECTOR_STORED
 from ..session import path_exists, remove_path, scratch_path
@@ -66,6 +65,15 @@ def join_embed_records(embeddings: DataFrame, records: DataFrame, *order: str) -
     ).join(last.select(taken), "gkg_record_id")
 
 
+def folder_month(date: Column) -> Column:
+    """Folder of a row: its month, or ``unknown`` where the date names none.
+
+    Only digits make a folder, so that damaged dates cannot make many.
+    """
+    month = F.substring(date, 1, 6)
+    return F.when(month.rlike("^[0-9]{6}$"), month).otherwise(F.lit("unknown"))
+
+
 # ---------------------------------------------------------------- ids
 
 
@@ -138,14 +146,16 @@ class VectorTable:
             F.raise_error(F.lit(f"vector is not {self.dimensions} wide"))
         )
         return rows.select(*VECTOR_NAMES).withColumns(
-            {"vector": vector, "year_month": month_partition(F.col("date"))}
+            {"vector": vector, "year_month": folder_month(F.col("date"))}
         )
 
     def append(self, rows: DataFrame) -> None:
         self._checked(rows).write.mode("append").partitionBy("year_month").parquet(self.path)
 
     def add_records(self, embeddings: DataFrame, records: DataFrame, *order: str) -> None:
-        self.append(vec_row_shape(join_embed_records(embeddings, records, *order)))
+        rows = vec_row_shape(join_embed_records(embeddings, records, *order))
+        by_month = rows.withColumn("_month", folder_month(F.col("date"))).hint("rebalance", "_month")
+        self.append(by_month)
 
     def delete_by_ids(self, ids: DataFrame, key: str = "gkg_record_id") -> int:
         """Remove rows by id and return how many there were.
