@@ -159,9 +159,8 @@ def _land(spark, sf, paths):
 
     One source's files are listed with a wrong checksum.
     """
-    inputs.lines(spark, sf).select("value", "source_file").write.partitionBy("source_file").text(
-        paths.archives
-    )
+    by_file = inputs.lines(spark, sf).select("value", "source_file").repartition("source_file")
+    by_file.write.partitionBy("source_file").text(paths.archives)
     fs, root = hadoop_path(spark, paths.archives)
     for folder in fs.listStatus(root):
         if not folder.isDirectory():
