@@ -212,7 +212,8 @@ def parse_record(spark, sf):
 def _text_folder(spark, sf):
     """The lines as text files, one folder per source file."""
     path = scratch_path(spark, "lines")
-    inputs.lines(spark, sf).select("value", "source_file").write.partitionBy("source_file").text(path)
+    by_file = inputs.lines(spark, sf).select("value", "source_file").repartition("source_file")
+    by_file.write.partitionBy("source_file").text(path)
     return path
 
 
