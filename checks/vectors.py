@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewire.functions import assemble
-from tidewire.functions.text import words
 from tidewire.operators import embed, search
 from tidewire.session import scratch_path
 from tidewire.sources import vectors as vt

@@ -2,7 +2,6 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)

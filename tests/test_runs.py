@@ -5,7 +5,6 @@ import hashlib
 import io
 import zipfile
 
-from pyspark.sql import functions as F
 
 from tidewire.operators import embed
 from tidewire.operators.manifest import ManifestLog

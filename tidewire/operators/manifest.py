@@ -305,6 +305,7 @@ class ManifestLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._stored: list[str] = []
 
     def events(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
@@ -321,8 +322,14 @@ class ManifestLog:
         path = scratch_path(self.spark, "state")
         state = self.state()
         state.write.parquet(path)
+        self._stored.append(path)
         return self.spark.read.schema(state.schema).parquet(path)
 
+    def drop_snapshots(self) -> None:
+        """Remove what ``snapshot`` has stored, once its users are done."""
+        while self._stored:
+            remove_path(self.spark, self._stored.pop())
+
     def next_seq(self) -> int:
         last = self.events().agg(F.max("seq").alias("s")).first()["s"]
         return 1 if last is None else last + 1

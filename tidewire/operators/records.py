@@ -89,8 +89,10 @@ def record_columns(fields_to_parse: Iterable[str] | None = None) -> list[Column]
         strings("persons"),
         strings("organizations"),
         tone.alias("tone"),
+        # all 27 fields: missing ones empty, surplus ones cut off
         F.map_from_arrays(
-            F.array(*[F.lit(n) for n in FIELDS]), F.array(*[_at(n) for n in FIELDS])
+            F.split(F.lit(" ".join(FIELDS)), " "),
+            F.slice(F.concat("_f", F.array_repeat(F.lit(""), len(FIELDS))), 1, len(FIELDS)),
         ).alias("raw"),
         errors.alias("parse_errors"),
         fx.year_month(date_str).alias("year_month"),

@@ -119,6 +119,7 @@ def sync(
     state = log.snapshot()
     stats = mf.sync_stats(files, state).first().asDict()
     log.append(mf.insert_ignore(files, state, now, log.next_seq()))
+    log.drop_snapshots()
     return stats
 
 
@@ -182,6 +183,7 @@ def fetch(
         done["files_downloaded"] += counts.get("downloaded", 0)
         done["download_errors"] += counts.get("failed", 0)
         remove_path(spark, checked)
+    log.drop_snapshots()
     return done
 
 
@@ -244,6 +246,7 @@ def parse_to_completed(
     sums = stats.agg(
         F.count_if(~fails).alias("parsed_files"), F.count_if(fails).alias("parse_errors")
     ).first()
+    log.drop_snapshots()
     remove_path(spark, planned)
     remove_path(spark, counted)
     return sums.asDict()

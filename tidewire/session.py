@@ -15,6 +15,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # building wide plans: do not look up the call site of every expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # archives and vectors travel to Python workers: bound a batch by bytes too
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
