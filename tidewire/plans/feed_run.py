@@ -213,6 +213,10 @@ def parse_to_completed(
     files = spark.read.schema(
         "file_url string, date_partition string, source_file string"
     ).parquet(planned)
+    if files.isEmpty():
+        log.drop_snapshots()
+        remove_path(spark, planned)
+        return {"parsed_files": 0, "parse_errors": 0}
     raw = archive.read_raw_of(spark, paths.raw, files.select("source_file", "date_partition"))
     lines = raw.where(F.col("line_number") > 0).select(
         "source_file", "date_partition", "line_number", "value"
