@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact, repetition, url_rules
+from . import attribution, bpe, exact, packing, repetition, url_rules
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -105,3 +109,23 @@ _OP9_SQL = r"""
 @query("op9_exact_dedup", _OP9_SQL)
 def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.group_copies(table(spark, sf, "documents")).withColumnRenamed("digest", "text_sha256")
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Token counts of every line of every document."""
+    return attribution.attribute(table(spark, sf, "documents"), TOKENIZER)
+
+
+@query("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf, "documents"), TOKENIZER)
+    return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+@query("op10_bpe_round_trip")
+def op10_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    back = bpe.decode(bpe.encode(table(spark, sf, "documents"), TOKENIZER), TOKENIZER)
+    return back.select(
+        "doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
