@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, bpe, exact, packing, repetition, url_rules
+from . import attribution, bpe, exact, packing, pii, repetition, secret_scan, spans, url_rules
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -129,3 +129,21 @@ def op10_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return back.select(
         "doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op1_pii")
+def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = pii.detect(docs, pii.train(pii.labelled_table(docs)))
+    base = spans.listed(spans.base_only("spans"))
+    counts = [spans.count_of("spans", k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.listed("spans").alias("spans"))
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_table(docs)))
+    base = spans.listed(spans.base_only("spans"))
+    counts = [spans.count_of("spans", k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]]
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.listed("spans").alias("spans"))
