@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from . import arrays as A
 
 # Distinct words a worker remembers before it starts anew.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 # Bytes beyond which a word is merged by itself.
 LONG_WORD = 128
 # Characters beyond these ranges are unassigned or private: neither letter, number nor space.
@@ -60,23 +60,46 @@ def character_classes(tokenizer: Tokenizer) -> np.ndarray:
     return out
 
 
-class Vocabulary:
+def token_bytes(spec: dict) -> list[bytes]:
+    """The bytes of every id."""
+    stand_in, names = byte_alphabet(), spec["model"]["vocab"]
+    added = {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+    words = [b""] * (max([*names.values(), *added]) + 1)
+    for name, i in names.items():
+        words[i] = bytes(stand_in[c] for c in name)
+    for i, word in added.items():
+        words[i] = word
+    return words
+
+
+class Decoder:
+    """The bytes of all ids, one after another, and where each begins."""
+
+    def __init__(self, words: list[bytes]):
+        self.blob = np.frombuffer(b"".join(words), np.uint8)
+        self.bounds = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of ids, and the bounds of each id in them."""
+        ids = ids.astype(np.int64)
+        sizes = self.bounds[ids + 1] - self.bounds[ids]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        return self.blob[np.repeat(self.bounds[ids] - total[:-1], sizes) + np.arange(total[-1])], total
+
+
+class Vocabulary(Decoder):
     """What encoding needs, from the JSON text of a byte-level BPE tokenizer."""
 
     def __init__(self, source: str, classes: np.ndarray | None = None):
         spec = json.loads(source)
-        model, stand_in = spec["model"], byte_alphabet()
+        model = spec["model"]
         if model["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"]:
             raise ValueError("not a plain byte-level BPE tokenizer")
         names = model["vocab"]
         self.special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
-        size = max([*names.values(), *self.special.values()]) + 1
-        words = [b""] * size
-        for name, i in names.items():
-            words[i] = bytes(stand_in[c] for c in name)
-        for word, i in self.special.items():
-            words[i] = word
-        self.words = words
+        self.words = words = token_bytes(spec)
+        super().__init__(words)
+        size = len(words)
         self.classes = character_classes(Tokenizer.from_str(source)) if classes is None else classes
 
         # merges: key left * size + right, in order of rank
@@ -95,8 +118,6 @@ class Vocabulary:
             array[made[::-1]] = value[::-1]
         self.made = made
 
-        self.blob = np.frombuffer(b"".join(words), np.uint8)
-        self.bounds = np.concatenate([[0], np.cumsum([len(w) for w in words])])
         plain = [(names[n], words[names[n]]) for n in names]
         self.byte_id = np.zeros(256, np.int64)
         for i, w in plain:
@@ -366,15 +387,6 @@ class Vocabulary:
                     p = whole.find(word, p + 1)
         return (np.unique(np.concatenate(cuts)) if fixed else np.unique(bounds)), fixed
 
-    # ids -> bytes
-
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of ids, and the bounds of each id in them."""
-        ids = ids.astype(np.int64)
-        sizes = self.bounds[ids + 1] - self.bounds[ids]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        return self.blob[np.repeat(self.bounds[ids] - total[:-1], sizes) + np.arange(total[-1])], total
-
 
 def _found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
@@ -481,15 +493,16 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: s
     """
     if text_col in encoded.columns:
         raise ValueError(f"column {text_col} is there already")
-    shared = Tokenization(encoded.sparkSession, tokenizer)
+    with open(tokenizer, encoding="utf-8") as f:
+        table = Decoder(token_bytes(json.load(f)))
+    shared = encoded.sparkSession.sparkContext.broadcast(table)
     schema = T.StructType([*encoded.schema.fields, T.StructField(text_col, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.vocabulary()
         for batch in batches:
             for part in A.slices(batch, ids_col):
                 ids = part[ids_col].to_pylist()
-                data, at = vocabulary.decode(np.frombuffer(b"".join(x or b"" for x in ids), "<u4"))
+                data, at = shared.value.decode(np.frombuffer(b"".join(x or b"" for x in ids), "<u4"))
                 ends = at[np.cumsum([0] + [len(x or b"") // 4 for x in ids])].tolist()
                 raw = data.tobytes()
                 texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:])]
