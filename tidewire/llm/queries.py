@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, bpe, exact, packing, pii, repetition, secret_scan, spans, url_rules
+from . import attribution, bpe, exact, jaccard, packing, pii, repetition, secret_scan, spans, url_rules
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -147,3 +147,25 @@ def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     base = spans.listed(spans.base_only("spans"))
     counts = [spans.count_of("spans", k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]]
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.listed("spans").alias("spans"))
+
+
+_OP5_SQL = f"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{url_rules.UPPER}',
+        '{url_rules.UPPER.lower()}'), '{WORD}') AS ws FROM documents),
+    s AS (SELECT DISTINCT doc_id, g FROM (
+        SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+            ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i : i + 3], ' ')) END) AS g FROM w)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (g)
+        WHERE a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+        WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+    SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id FROM documents
+    LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)"""
+
+
+@query("op5_ngram_jaccard", _OP5_SQL)
+def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf, "documents"), k=4, percent=85)
