@@ -51,7 +51,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column and the bounds of its rows; null counts as empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     _, offsets, data = column.buffers()
     bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(bounds):

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, bpe, exact, jaccard, packing, pii, repetition, secret_scan, spans, url_rules
+from . import attribution, bpe, exact, jaccard, packing, pii, repetition, secret_scan, spans, substrings, url_rules
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -169,3 +169,10 @@ _OP5_SQL = f"""
 @query("op5_ngram_jaccard", _OP5_SQL)
 def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.classes(table(spark, sf, "documents"), k=4, percent=85)
+
+
+@query("op6_substring_dedup")
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cut = substrings.cut_repeats(table(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
