@@ -1,10 +1,16 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage reads what the one before it kept; all but the last return the columns
+of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewire.llm import exact, repetition
+from tidewire.llm import exact, jaccard, packing, repetition, secret_scan
+from tidewire.llm.queries import TOKENIZER
 from tidewire.session import scratch_path
 
 
@@ -18,16 +24,39 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.keep_first(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word windows at a similarity of 0.8."""
+    return jaccard.keep_one(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with found secrets masked."""
+    return secret_scan.redact(docs, secret_scan.train(secret_scan.labelled_table(docs)))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences of at most 2048 tokens."""
+    pieces = packing.pieces(docs, TOKENIZER)
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mask_secrets", mask_secrets),
+    ("pack", pack),
+]
 
-# The encoding of the last stage is beyond SQL; tests hold the rows against brute force.
+# Learned masks and token ids are beyond SQL; a test holds the rows against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

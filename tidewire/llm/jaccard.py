@@ -109,19 +109,19 @@ def profile(grams: np.ndarray, table: np.ndarray, percent: int) -> tuple[bytes,
 
 
 def _profiles(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """(key, n, digest, prefix, sketch) of every row; stored."""
+    """(key, mark, n, digest, prefix, sketch) of every row, ``mark`` a hash of its text; stored."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(frequencies(docs, text_col, k))
     schema = T.StructType([
-        T.StructField("key", docs.schema[id_col].dataType), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
+        T.StructField("key", docs.schema[id_col].dataType), T.StructField("mark", T.LongType()), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
         T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType())),
     ])
     longs = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in A.slices(batch, text_col):
-                sets = gram_sets(part[text_col], k)
+            for part in A.slices(batch, "text"):
+                sets = gram_sets(part["text"], k)
                 rows = [profile(g, table.value, percent) if len(g) else (None, g, g) for g in sets]
                 lists = [
                     pa.ListArray.from_arrays(
@@ -130,11 +130,12 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
                     for c in (1, 2)
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part[id_col], pa.array([len(g) for g in sets], pa.int64()), pa.array([r[0] for r in rows], pa.binary()), *lists],
+                    [part["key"], part["mark"], pa.array([len(g) for g in sets], pa.int64()), pa.array([r[0] for r in rows], pa.binary()), *lists],
                     names=schema.names)
 
     path = scratch_path(spark, "profiles")
-    docs.select(id_col, text_col).mapInArrow(run, schema).write.parquet(path)
+    texts = docs.select(F.col(id_col).alias("key"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
+    texts.mapInArrow(run, schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -195,19 +196,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     return _store(same.select("a", "b"), "verified")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-            percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id.
-
-    A document's set holds the distinct windows of ``k`` words of its text with
-    A-Z lower-cased (the whole text if it has fewer words); two documents link if
-    100 times the shared windows are at least ``percent`` times all of both.
-    ``component_id`` is the smallest id that links reach, one's own included; null
-    ids are not smallest unless all are null.  A text without words, or null, has
-    an empty set and links with nothing: its component is its own id.  Repeated
-    rows link with each other.  An empty table gives an empty result; other
-    columns are not read.
-    """
+def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """(key, mark, n, root, component_id) of every row of ``docs``; no root for empty sets."""
     rows = _profiles(docs, id_col, text_col, k, percent)
     nodes = _store(
         rows.filter("n > 0").groupBy("digest").agg(
@@ -247,7 +237,47 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
     named = nodes.select("digest", "node", "first").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.join(smallest, "root").select("digest", "component_id")
-    return rows.select("key", "n", "digest").join(named, "digest", "left").select(
+    named = named.join(smallest, "root").select("digest", "root", "component_id")
+    return rows.select("key", "mark", "n", "digest").join(named, "digest", "left")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
+            percent: int = 80) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id.
+
+    A document's set holds the distinct windows of ``k`` words of its text with
+    A-Z lower-cased (the whole text if it has fewer words); two documents link if
+    100 times the shared windows are at least ``percent`` times all of both.
+    ``component_id`` is the smallest id that links reach, one's own included; null
+    ids are not smallest unless all are null.  A text without words, or null, has
+    an empty set and links with nothing: its component is its own id.  Repeated
+    rows link with each other.  An empty table gives an empty result; other
+    columns are not read.
+    """
+    return _placed(docs, id_col, text_col, k, percent).select(
         F.col("key").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
+             percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each component.
+
+    The smallest id stays, null ids last; of rows that share it one by the hash of
+    its text.  Rows with an empty set all stay.  See :func:`classes`.
+    """
+    placed = _store(_placed(docs, id_col, text_col, k, percent).filter("n > 0").select("key", "mark", "root"), "placed")
+    rank = F.struct(F.col("key").isNull().alias("no_key"), "key", "mark")
+    best = placed.groupBy("root").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("rows"))
+    crowded = placed.join(best.filter("rows > 1"), "root").withColumn("stays", rank == F.col("best"))
+    crowded = _store(crowded.select("key", "mark", "stays"), "crowded")
+    gone = crowded.filter("not stays").select(F.col("key").alias("__gone_key"), F.col("mark").alias("__gone_mark")).distinct()
+    small = gone.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    marked = docs.withColumns({"__mark": F.xxhash64(text_col), "__key": F.col(id_col)})
+    here = F.col("__mark").eqNullSafe(F.col("__gone_mark")) & F.col("__key").eqNullSafe(F.col("__gone_key"))
+    left = marked.join(F.broadcast(gone) if small else gone, here, "left_anti")
+    if not crowded.filter("stays").groupBy("key", "mark").count().filter("count > 1").isEmpty():
+        # repeated rows: one of them; texts without words are not touched
+        wordless = F.coalesce(F.col(text_col), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
+        left = left.filter(~wordless).dropDuplicates(["__key", "__mark"]).union(left.filter(wordless))
+    return left.select(*docs.columns)
