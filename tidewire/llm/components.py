@@ -5,13 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
-
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from .steps import store
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     is resolved at once; paths shrink by a fraction each round.  Aggregates
     combine before the shuffle; joins on a hub's key can be split.
     """
-    edges = _stored(links.select("a", "b").filter("a <> b").distinct(), "links")
+    edges = store(links.select("a", "b").filter("a <> b").distinct(), "links")
     steps: list[DataFrame] = []
     while not edges.isEmpty():
         k = len(steps)
@@ -31,18 +25,18 @@ def components(links: DataFrame) -> DataFrame:
         rank = F.struct(F.col("links"), F.xxhash64("node", F.lit(k)).alias("tie"), F.col("node"))
         degree = both.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("links")).select("node", rank.alias("rank"))
         around = both.join(degree, both["b"] == degree["node"]).groupBy("a").agg(F.max("rank").alias("best"))
-        step = _stored(
+        step = store(
             degree.join(around, F.col("node") == F.col("a"))
             .select("node", F.greatest("rank", "best").getField("node").alias("root")), "joined")
         steps.append(step)
         left = step.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         right = step.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         ends = edges.join(left, "a").join(right, "b").filter("ra <> rb")
-        edges = _stored(ends.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "links")
+        edges = store(ends.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "links")
     if not steps:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = steps[0]
     for step in steps[1:]:
         later = step.select(F.col("node").alias("root"), F.col("root").alias("next"))
         found = found.join(later, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-    return _stored(found, "components")
+    return store(found, "components")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .steps import broadcast_if_small
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -32,11 +33,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a key table after counting it; a large one is left to a shuffled join."""
-    return F.broadcast(df) if df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else df
-
-
 def stream_state(spark: SparkSession, path: str, schema, bytes_per_trigger: int) -> DataFrame:
     """State per digest (``rows``, ``first``, ``place``) after streaming the digest table at ``path``."""
     session = spark.newSession()
@@ -85,7 +81,7 @@ def _verified(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Col
     single = state.filter("rows = 1").select(F.col("first").alias("key"), "digest", "first", "rows")
 
     # full bytes of the rows of groups, each hit beside the text of the row that stays
-    met = texts.withColumn("digest", digest(F.col("text"))).join(_small(groups), "digest")
+    met = texts.withColumn("digest", digest(F.col("text"))).join(broadcast_if_small(groups, BROADCAST_KEYS), "digest")
     shares = F.ceil(F.col("rows") / GROUP_ROWS).cast("int")
     keepers = (
         met.filter(F.col("key").eqNullSafe(F.col("first")))
@@ -148,7 +144,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "__digest": sha256(normalised(F.col(text_col))), "__key": F.col(id_col),
     })
     here = F.col("__digest").eqNullSafe(F.col("__gone_digest")) & F.col("__key").eqNullSafe(F.col("__gone_key"))
-    left = marked.join(_small(gone), here, "left_anti")
+    left = marked.join(broadcast_if_small(gone, BROADCAST_KEYS), here, "left_anti")
     again = rows.filter(is_first).groupBy("digest", "key").count().filter("count > 1")
     if not again.isEmpty():  # repeated rows of the smallest id: one of them
         left = left.dropDuplicates(["__key", "__digest"])

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
 from . import arrays as A
+from .steps import broadcast_if_small, store
 
 LENGTH = 50
 GRAM = 20
@@ -29,8 +29,8 @@ GRAM = 20
 HOT = 32
 # Rows that are refined together.
 BLOCK_ROWS = 20_000
-# Copies whose keys are broadcast instead of shuffling all texts (about 60 bytes each).
-BROADCAST_KEYS = 200_000
+# Keys that are broadcast to pick texts before these are shuffled (about 60 bytes each).
+BROADCAST_KEYS = 400_000
 NO_ID = (1 << 63) - 1
 TOP = np.uint64((1 << 64) - 1)
 
@@ -110,7 +110,7 @@ def keys_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample_rows(length: int, q: int):
-    """(place, h, c, hot, key, mark): samples of texts, the same surroundings once per document."""
+    """(h, c, hot, key, mark): samples of texts, the same surroundings once per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,15 +128,13 @@ def sample_rows(length: int, q: int):
                 hot = many[np.cumsum(new_h) - 1]
                 signs = h[new_h][many]  # tell the q-gram's own place that it is hot
                 h, c, row, hot = h[once], c[once], row[once], hot[once]
-                with np.errstate(over="ignore"):
-                    place = np.where(hot, A.mix(h ^ (c * A.BASE)), h)
                 none = np.full(len(signs), NO_ID)
                 cols = [
-                    np.concatenate([place, signs]).view(np.int64), np.concatenate([h, signs]).view(np.int64),
+                    np.concatenate([h, signs]).view(np.int64),
                     np.concatenate([c.view(np.int64), -none - 1]), np.concatenate([hot, np.ones(len(signs), bool)]),
                     np.concatenate([key[row], none]), np.concatenate([mark[row], np.zeros(len(signs), np.int64)]),
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["place", "h", "c", "hot", "key", "mark"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["h", "c", "hot", "key", "mark"])
 
     return run
 
@@ -351,21 +349,6 @@ def remove(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple
     return b"".join([*kept, text[at:]]), [(a, b) for a, b in merged]
 
 
-def _store(df: DataFrame, purpose: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else df
-
-
-def _release(df: DataFrame) -> None:
-    """Let Spark's cleaner drop shuffle files of steps whose results are stored."""
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                 q: int = GRAM) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, spans (removed, in bytes), kept_sha256.
@@ -385,37 +368,36 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
     texts = docs.select(key.alias("key"), F.coalesce(text_col, F.lit("")).alias("text"), F.col(id_col).alias("id"))
     texts = texts.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    rows = _store(texts.select("id", "key", "digest", F.octet_length("text").cast("bigint").alias("n_bytes")), "rows")
+    rows = store(texts.select("id", "key", "digest", F.octet_length("text").cast("bigint").alias("n_bytes")), "rows")
     groups = rows.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("rows"))
-    copies = _store(
+    copies = store(
         rows.join(groups.filter("rows > 1"), "digest").filter("key > first").select("key", "digest").distinct(), "copies")
 
     # texts that are no copy of an earlier document's; documents without an id are told apart by their text
-    own = texts.join(_small(copies), ["key", "digest"], "left_anti").filter(F.octet_length("text") >= length)
+    own = texts.join(broadcast_if_small(copies, BROADCAST_KEYS), ["key", "digest"], "left_anti").filter(F.octet_length("text") >= length)
     hashed = F.xxhash64("text")
     own = own.select("key", F.when(F.col("key") == NO_ID, hashed).otherwise(F.lit(0).cast("bigint")).alias("mark"),
                      hashed.alias("text_hash"), "digest", "text")
 
     samples = own.select("key", "mark", "text").mapInArrow(
-        sample_rows(length, q), "place long, h long, c long, hot boolean, key long, mark long")
-    flagged = _store(
-        samples.repartition("place").drop("place").sortWithinPartitions("h", "c", "key")
+        sample_rows(length, q), "h long, c long, hot boolean, key long, mark long")
+    # rows of a hot q-gram are dealt out by their surroundings, but for the one that tells the others
+    place = F.when(F.col("hot") & (F.col("key") != NO_ID), F.xxhash64("h", "c")).otherwise(F.col("h"))
+    flagged = store(
+        samples.repartition(place).sortWithinPartitions("h", "c", "key")
         .mapInArrow(flag_rows, "key long, mark long, c long, seen boolean"), "flagged")
-    _release(docs)
 
     flags = flagged.groupBy("key", "mark").agg(F.collect_list(F.struct("c", "seen")).alias("flags"))
     told = own.join(flags, ["key", "mark"]).select("key", "mark", "text_hash", "text", "flags")
     span = "key long, mark long, text_hash long, start long, stop long"
-    found = _store(told.mapInArrow(open_runs(length, q), f"{span}, h long, run binary"), "runs")
-    _release(docs)
+    found = store(told.mapInArrow(open_runs(length, q), f"{span}, h long, run binary"), "runs")
 
     runs = found.filter("h is not null").repartition("h").sortWithinPartitions("h")
     late = runs.mapInArrow(refine(length, q), span)
-    spans = _store(found.filter("h is null").select(late.columns).union(late), "spans")
-    _release(docs)
+    spans = store(found.filter("h is null").select(late.columns).union(late), "spans")
 
     by_text = spans.groupBy("key", "mark", "text_hash").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    by_text = _store(by_text, "by-text")
+    by_text = store(by_text, "by-text")
     schema = T.StructType([
         T.StructField("key", T.LongType()), T.StructField("digest", T.BinaryType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("start", "stop")]))),
@@ -432,7 +414,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     [part["key"], part["digest"], pa.array([[{"start": a, "stop": b} for a, b in s] for _, s in out], spans_type),
                      pa.array([hashlib.sha256(k).hexdigest() for k, _ in out])], names=schema.names)
 
-    touched = own.join(_small(by_text), ["key", "mark", "text_hash"]) if _is_small(by_text) else own.join(by_text, ["key", "mark", "text_hash"])
+    names = ["key", "mark", "text_hash"]
+    changed = broadcast_if_small(by_text.select(*names), BROADCAST_KEYS)
+    touched = own.join(changed, names, "left_semi").join(by_text.hint("merge"), names)
     cut = touched.select("key", "digest", "text", "spans").mapInArrow(rest, schema).dropDuplicates(["key", "digest"])
 
     copy = copies.withColumn("copy", F.lit(True))
@@ -442,9 +426,3 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("id").alias(id_col), "n_bytes",
         F.when(is_copy, whole).otherwise(F.coalesce("spans", F.array().cast(schema["spans"].dataType))).alias("spans"),
         F.when(is_copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept", F.lower(F.hex("digest")))).alias("kept_sha256"))
-
-
-def _is_small(df: DataFrame) -> bool:
-    """Few enough rows, and spans, for a broadcast."""
-    count = df.limit(BROADCAST_KEYS + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("spans")).alias("spans")).first()
-    return count["n"] <= BROADCAST_KEYS and (count["spans"] or 0) <= 4 * BROADCAST_KEYS
