@@ -14,7 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .search import knn_search
+from .search import finite, has_themes, in_countries, knn_search, within_dates
 
 EARTH_KM = 6371.0
 KM_PER_DEGREE = EARTH_KM * math.pi / 180
@@ -53,7 +53,8 @@ def dimension_ranges(store: DataFrame, vector: str = "vector") -> DataFrame:
                 names=["pos", "lo", "hi"],
             )
 
-    parts = store.select(vector).mapInArrow(run, "pos int, lo double, hi double")
+    usable = store.select(vector).where(finite(F.col(vector)))
+    parts = usable.mapInArrow(run, "pos int, lo double, hi double")
     return parts.groupBy("pos").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
@@ -144,10 +145,18 @@ def funnel_search(
 ) -> DataFrame:
     """Shortlist by differing signs, then exact order among the shortlist.
 
+    Filters apply before the shortlist is cut (with ``mode="overfetch"`` the date
+    filter does), so that they never leave fewer rows than there are.
+
     ``bits`` names a stored column of ``sign_bits``; with it the first stage
     reads 8 bytes per 64 dimensions instead of 256.
     """
     query = [float(x) for x in query_vector]
+    month = "year_month" if "year_month" in store.columns else None
+    store = store.where(within_dates(knn_args.get("date_from"), knn_args.get("date_to"), month))
+    if knn_args.get("mode", "prefilter") == "prefilter":
+        store = store.where(in_countries(knn_args.get("countries")) & has_themes(knn_args.get("themes")))
+    store = store.where(F.col(bits).isNotNull() if bits else finite(F.col(vector)))
     code = F.col(bits) if bits else sign_bits(F.col(vector), len(query))
     near = (
         store.withColumn("_bits", hamming(code, _pack(query)))

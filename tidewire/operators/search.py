@@ -11,6 +11,7 @@ row of 6 KB is multiplied with thousands of vectors.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -129,6 +130,12 @@ def embed_requests(requests: DataFrame, embedder: Embedder) -> DataFrame:
 # ---------------------------------------------------------------- scoring
 
 
+def finite(vector: Column) -> Column:
+    """The vector is there and holds finite numbers only."""
+    odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(vector.isNotNull() & ~odd, F.lit(False))
+
+
 @dataclass(frozen=True)
 class _Filter:
     date_from: str | None
@@ -150,30 +157,41 @@ class _Filter:
 
 @dataclass
 class _Block:
+    numbers: list[int]  # tell requests apart; callers may use a qid twice
     qids: list[str]
     vectors: np.ndarray
     keep: np.ndarray  # rows wanted per request
     filter_of: np.ndarray  # index into filters, per request
     filters: list[_Filter]
+    wanted: list[dict]  # limit and lists of each request, for filters after ranking
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Arrow list column -> float64 matrix (fails on any other width)."""
-    if column.null_count:
-        raise ValueError("vector is null")
+def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Arrow list column -> float64 matrix, and which rows hold finite numbers only.
+
+    Other rows (null, or with a null, NaN or infinite component) are zero.
+    Fails on any other width.
+    """
+    there = column.is_valid().to_numpy(zero_copy_only=False)
     flat = np.asarray(column.flatten(), dtype=np.float64)
-    if len(flat) != len(column) * width:
+    if len(flat) != there.sum() * width:
         raise ValueError(f"vectors are not {width} wide")
-    return flat.reshape(len(column), width)
+    rows = np.zeros((len(column), width))
+    rows[there] = flat.reshape(-1, width)
+    usable = there & np.isfinite(rows).all(axis=1)
+    rows[~usable] = 0.0
+    return rows, usable
 
 
 def _squared(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.square(rows - query).sum(axis=1)
 
 
-def _nearest(block: _Block, payload: list[str], key: str):
-    """Arrow function: batches -> the best rows of each batch for each request."""
+def _nearest(block: _Block, payload: list[str], key: str, later: bool):
+    """Arrow function: batches -> the best rows of each batch for each request, with what the
+    filters after ranking need if there are any (``later``)."""
     qids = np.array(block.qids, dtype=object)
+    numbers = np.array(block.numbers)
     queries = np.ascontiguousarray(block.vectors, dtype=np.float64)
     q_norms = np.square(queries).sum(axis=1)
     keep, filter_of = block.keep, block.filter_of
@@ -186,9 +204,9 @@ def _nearest(block: _Block, payload: list[str], key: str):
             step = max(1, CELLS // max(1, len(qids)))
             for start in range(0, whole.num_rows, step):
                 batch = whole.slice(start, step)
-                rows = _matrix(batch.column("_vector"), width)
+                rows, usable = _matrix(batch.column("_vector"), width)
                 marks = batch.column("_marks").flatten().to_numpy(zero_copy_only=False)
-                marks = marks.reshape(len(rows), -1).astype(bool)
+                marks = marks.reshape(len(rows), -1).astype(bool) & usable[:, None]
                 norms = np.square(rows).sum(axis=1)
                 near = norms[:, None] + q_norms[None, :] - 2.0 * (rows @ queries.T)
                 near[~marks[:, filter_of]] = np.inf
@@ -218,21 +236,28 @@ def _nearest(block: _Block, payload: list[str], key: str):
                     out_dist += [o[0] for o in order]
                 if out_row:
                     taken = batch.select(payload).take(pa.array(out_row, pa.int64()))
+                    asked = [block.wanted[j] for j in out_q] if later else []
                     yield pa.RecordBatch.from_arrays(
                         [
+                            pa.array(numbers[out_q], pa.int64()),
                             pa.array(qids[out_q].tolist(), pa.string()),
                             pa.array(keep[out_q], pa.int32()),
                             pa.array(out_dist, pa.float64()),
                             *taken.columns,
+                            *[pa.array([w[c] for w in asked], t) for c, t in _LATER.items() if later],
                         ],
-                        names=["qid", "_keep", "distance", *payload],
+                        names=["_number", "qid", "_keep", "distance", *payload, *(_LATER if later else ())],
                     )
 
     return run
 
 
+# what filters after ranking need of a request
+_LATER = {"_limit": pa.int32(), "_countries": pa.list_(pa.string()), "_themes": pa.list_(pa.string())}
+
+
 def _score_pass(
-    store: DataFrame, block: _Block, payload: list[str], key: str, vector: str
+    store: DataFrame, block: _Block, payload: list[str], key: str, vector: str, later: bool
 ) -> DataFrame:
     """Best rows per request of one block of requests."""
     month = "year_month" if "year_month" in store.columns else None
@@ -248,20 +273,24 @@ def _score_pass(
         F.col(vector).alias("_vector"),
         F.array(*[F.coalesce(c, F.lit(False)) for c in conditions]).alias("_marks"),
     )
+    strings = T.ArrayType(T.StringType())
+    asked = {"_limit": T.IntegerType(), "_countries": strings, "_themes": strings} if later else {}
     schema = T.StructType(
         [
+            T.StructField("_number", T.LongType()),
             T.StructField("qid", T.StringType()),
             T.StructField("_keep", T.IntegerType()),
             T.StructField("distance", T.DoubleType()),
         ]
         + [store.schema[c] for c in payload]
+        + [T.StructField(c, t) for c, t in asked.items()]
     )
-    near = scored.mapInArrow(_nearest(block, payload, key), schema)
+    near = scored.mapInArrow(_nearest(block, payload, key, later), schema)
     most = int(block.keep.max())
     # Many tasks may send rows for one request: rank in slices first, then all.
-    salted = W.partitionBy("qid", "_salt").orderBy("distance", key)
-    whole = W.partitionBy("qid").orderBy("distance", key)
-    return (
+    salted = W.partitionBy("_number", "_salt").orderBy("distance", key)
+    whole = W.partitionBy("_number").orderBy("distance", key)
+    ranked = (
         near.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
         .withColumn("rank", F.row_number().over(salted))
         .where(F.col("rank") <= most)
@@ -269,6 +298,7 @@ def _score_pass(
         .where((F.col("rank") <= most) & (F.col("rank") <= F.col("_keep")))
         .drop("_salt", "_keep")
     )
+    return _postfilter(ranked, key) if later else ranked.drop("_number")
 
 
 def _blocks(rows: Iterable, keep_factor, with_lists: bool) -> Iterator[_Block]:
@@ -278,14 +308,22 @@ def _blocks(rows: Iterable, keep_factor, with_lists: bool) -> Iterator[_Block]:
 
     def finish() -> _Block:
         return _Block(
-            [r["qid"] for r, _, _ in taken],
-            np.array([r["vector"] for r, _, _ in taken], dtype=np.float64),
-            np.array([k for _, k, _ in taken]),
-            np.array([f for _, _, f in taken]),
+            [n for *_, n in taken],
+            [r["qid"] for r, *_ in taken],
+            np.array([r["vector"] for r, *_ in taken], dtype=np.float64),
+            np.array([k for _, k, _, _ in taken]),
+            np.array([f for _, _, f, _ in taken]),
             list(filters),
+            [
+                {"_limit": int(r["limit"]), "_countries": list(r["countries"] or []), "_themes": list(r["themes"] or [])}
+                for r, *_ in taken
+            ],
         )
 
-    for r in rows:
+    for number, r in enumerate(rows):
+        # a request without a vector of finite numbers has no neighbours
+        if r["vector"] is None or not all(x is not None and math.isfinite(x) for x in r["vector"]):
+            continue
         own = _Filter(
             r["date_from"],
             r["date_to"],
@@ -296,7 +334,7 @@ def _blocks(rows: Iterable, keep_factor, with_lists: bool) -> Iterator[_Block]:
         if taken and (full or len(taken) == BLOCK):
             yield finish()
             taken, filters = [], {}
-        taken.append((r, keep_factor(r), filters.setdefault(own, len(filters))))
+        taken.append((r, keep_factor(r), filters.setdefault(own, len(filters)), number))
     if taken:
         yield finish()
 
@@ -340,8 +378,7 @@ def knn_batch(
     head = asked.limit(BLOCK + 1).collect()
     # more than a block: stream them, one partition of requests at a time
     rows: Iterable = head if len(head) <= BLOCK else asked.toLocalIterator()
-    ranked = plan.answer(rows, len(head) <= BLOCK)
-    return ranked if plan.exact else _postfilter(ranked, asked, key)
+    return plan.answer(rows, len(head) <= BLOCK)
 
 
 @dataclass
@@ -372,7 +409,7 @@ class _Plan:
         if few:
             blocks = list(blocks)
             if len(blocks) == 1:
-                return self.score(blocks[0])
+                return self.score(blocks[0])  # lazy
         path = scratch_path(spark, "knn")
         schema = None
         for block in blocks:
@@ -389,35 +426,20 @@ class _Plan:
         return spark.read.schema(schema).parquet(path)
 
     def score(self, block: _Block) -> DataFrame:
-        return _score_pass(self.store, block, self.payload, self.key, self.vector)
+        return _score_pass(self.store, block, self.payload, self.key, self.vector, not self.exact)
 
 
-def _postfilter(ranked: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+def _postfilter(ranked: DataFrame, key: str) -> DataFrame:
     """Country and theme filters on ranked rows, then the cut to the limit."""
-    wanted = asked.select(
-        "qid",
-        F.col("limit").alias("_limit"),
-        F.col("countries").alias("_countries"),
-        F.col("themes").alias("_themes"),
-    )
     joined = F.lower(F.array_join("themes", " "))
-    country_ok = (
-        F.col("_countries").isNull()
-        | (F.size("_countries") == 0)
-        | F.arrays_overlap("countries", "_countries")
-    )
-    theme_ok = (
-        F.col("_themes").isNull()
-        | (F.size("_themes") == 0)
-        | F.exists("_themes", lambda t: F.contains(joined, F.lower(t)))
-    )
-    place = W.partitionBy("qid").orderBy("distance", key)
+    country_ok = (F.size("_countries") == 0) | F.arrays_overlap("countries", "_countries")
+    theme_ok = (F.size("_themes") == 0) | F.exists("_themes", lambda t: F.contains(joined, F.lower(t)))
+    place = W.partitionBy("_number").orderBy("distance", key)
     return (
-        ranked.join(wanted, "qid")
-        .where(country_ok & theme_ok)
+        ranked.where(country_ok & theme_ok)
         .withColumn("rank", F.row_number().over(place))
         .where(F.col("rank") <= F.col("_limit"))
-        .drop("_limit", "_countries", "_themes")
+        .drop("_number", *_LATER)
     )
 
 
@@ -444,15 +466,7 @@ def knn_search(
         "countries": list(countries or []),
         "themes": list(themes or []),
     }
-    plan = _Plan(store, mode, payload, key, vector)
-    ranked = plan.answer([request], True)
-    if not plan.exact:
-        asked = store.sparkSession.createDataFrame(
-            [tuple(request[c] for c in ("qid", "limit", "countries", "themes"))],
-            "qid string, limit int, countries array<string>, themes array<string>",
-        )
-        ranked = _postfilter(ranked, asked, key)
-    return ranked.drop("qid")
+    return _Plan(store, mode, payload, key, vector).answer([request], True).drop("qid")
 
 
 def score(distance: Column) -> Column:
@@ -500,7 +514,9 @@ def distance_profile(
     store: DataFrame, requests: DataFrame, vector: str = "vector"
 ) -> DataFrame:
     """Every request against every row, folded per request while scoring:
-    number of rows, least, greatest and mean squared distance."""
+    number of rows, least, greatest and mean squared distance.  Vectors that are
+    null or not finite take no part."""
+    requests = requests.where(finite(F.col("vector")))
     width_rows = requests.select(F.col("qid").cast("string").alias("qid"), "vector")
     head = width_rows.limit(BLOCK + 1).collect()
     rows: Iterable = head if len(head) <= BLOCK else width_rows.toLocalIterator()
@@ -516,7 +532,10 @@ def distance_profile(
             for whole in batches:
                 step = max(1, CELLS // max(1, len(qids)))
                 for start in range(0, whole.num_rows, step):
-                    data = _matrix(whole.slice(start, step).column(0), queries.shape[1])
+                    data, usable = _matrix(whole.slice(start, step).column(0), queries.shape[1])
+                    data = data[usable]
+                    if not len(data):
+                        continue
                     near = (
                         np.square(data).sum(axis=1)[:, None]
                         + np.square(queries).sum(axis=1)[None, :]

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.embed import last_per_id
+from ..operators.search import finite
 from ..schemas import DEFAULT_DIMENSIONS, VECTOR_COLUMNS, VECTOR_STORED
 from ..session import path_exists, remove_path, scratch_path
 from .tables import partition_path
 
 TABLE_NAME = "gkg_embeddings"
+REJECTED = "rejected"  # folder of rows whose vector cannot be searched
 VECTOR_NAMES = [f.name for f in VECTOR_COLUMNS]
 
 
@@ -134,20 +136,29 @@ class VectorTable:
         """All rows; the declared schema keeps ``year_month`` a string."""
         if not path_exists(self.spark, self.path):
             return self.spark.createDataFrame([], VECTOR_STORED)
-        return self.spark.read.schema(VECTOR_STORED).parquet(self.path)
+        stored = self.spark.read.schema(VECTOR_STORED).parquet(self.path)
+        return stored.where(F.col("year_month") != REJECTED)
 
     def scan(self, *columns: str) -> DataFrame:
         return self.read().select(*columns)
 
+    def rejected(self) -> DataFrame:
+        """Rows refused because their vector is null or not finite."""
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], VECTOR_STORED)
+        stored = self.spark.read.schema(VECTOR_STORED).parquet(self.path)
+        return stored.where(F.col("year_month") == REJECTED)
+
     def _checked(self, rows: DataFrame) -> DataFrame:
-        """Stored form; a vector of another width fails the write."""
-        fits = F.size("vector") == self.dimensions
+        """Stored form.  A vector of another width fails the write; rows whose vector is null or
+        holds a null, NaN or infinite number go to the folder of rejected rows."""
+        fits = F.col("vector").isNull() | (F.size("vector") == self.dimensions)
         vector = F.when(fits, F.col("vector").cast("array<float>")).otherwise(
             F.raise_error(F.lit(f"vector is not {self.dimensions} wide"))
         )
-        return rows.select(*VECTOR_NAMES).withColumns(
-            {"vector": vector, "year_month": folder_month(F.col("date"))}
-        )
+        shaped = rows.select(*VECTOR_NAMES).withColumn("vector", vector)
+        month = F.when(finite(F.col("vector")), folder_month(F.col("date"))).otherwise(REJECTED)
+        return shaped.withColumn("year_month", month)
 
     def append(self, rows: DataFrame) -> None:
         self._checked(rows).write.mode("append").partitionBy("year_month").parquet(self.path)
