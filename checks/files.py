@@ -221,7 +221,7 @@ def get_file(spark, sf):
     "ORDER BY date_partition NULLS FIRST, created_at, file_url LIMIT 100",
 )
 def files_by_status(spark, sf):
-    return shown(mf.files_by_status(state(spark, sf), "completed"))
+    return shown(mf.files_by_status(state(spark, sf), "completed", limit=100))
 
 
 @query(
@@ -230,7 +230,7 @@ def files_by_status(spark, sf):
     "ORDER BY updated_at, file_url LIMIT 100",
 )
 def retryable_files(spark, sf):
-    return shown(mf.retryable_files(state(spark, sf), max_retries=20))
+    return shown(mf.retryable_files(state(spark, sf), limit=100, max_retries=20))
 
 
 @query(

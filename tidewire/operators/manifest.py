@@ -20,7 +20,6 @@ from ..schemas import EVENT_LOG, STATUSES
 from ..session import hadoop_path, path_exists, remove_path, scratch_path
 
 MAX_RETRIES = 3
-DEFAULT_LIMIT = 100
 STALE_MINUTES = 30
 
 _ORDER = ["event_ts", "seq"]
@@ -214,7 +213,7 @@ def get_file(state: DataFrame, file_url: str) -> DataFrame:
 def files_by_status(
     state: DataFrame,
     status: str,
-    limit: int | None = DEFAULT_LIMIT,
+    limit: int | None = None,
     include_retryable: bool = True,
     max_retries: int = MAX_RETRIES,
 ) -> DataFrame:
@@ -229,7 +228,7 @@ def files_by_status(
 
 
 def retryable_files(
-    state: DataFrame, limit: int | None = DEFAULT_LIMIT, max_retries: int = MAX_RETRIES
+    state: DataFrame, limit: int | None = None, max_retries: int = MAX_RETRIES
 ) -> DataFrame:
     found = state.where(
         (F.col("status") == "failed") & (F.col("retry_count") < max_retries)

@@ -21,7 +21,7 @@ from ..operators import manifest as mf
 from ..operators.embed import Embedder, embed_records, one_per_id
 from ..operators.records import MAX_ERRORS, parse_records, parse_stats, project_parsed
 from ..schemas import RUN_STATS
-from ..session import remove_path, scratch_path
+from ..session import path_exists, remove_path, scratch_path
 from ..sources import archive, parsed
 from ..sources.filelist import read_file_list
 from ..sources.tables import small_side
@@ -44,6 +44,11 @@ class FeedPaths:
     def landing(self) -> str:
         return self._under("landing")
 
+    @property
+    def embedded(self) -> str:
+        """Which files have been embedded, and in which state."""
+        return self._under("embedded-files")
+
     @property
     def archives(self) -> str:
         return self._under("landing/files")
@@ -199,8 +204,7 @@ def parse_to_completed(
     log = mf.ManifestLog(spark, paths.manifest)
     state = log.snapshot()
     todo = (
-        mf.files_by_status(state, "downloaded", max_files)
-        .where(F.col("date_partition").isNotNull())
+        mf.files_by_status(state.where(F.col("date_partition").isNotNull()), "downloaded", max_files)
         .select(
             "file_url",
             "date_partition",
@@ -310,16 +314,25 @@ def embed(
     date_to: str | None = None,
     max_files: int | None = None,
 ) -> dict:
+    """Embed the records of completed files.  ``max_files`` counts files that no run has embedded in
+    their present state, oldest first."""
     state = mf.ManifestLog(spark, paths.manifest).state()
-    chosen = mf.files_by_status(
-        state.where(completed_between(date_from, date_to)), "completed", max_files
-    ).select("date_partition", urls.url_filename(F.col("file_url")).alias("source_file"))
+    state = state.where(completed_between(date_from, date_to) & F.col("date_partition").isNotNull())
+    if max_files and path_exists(spark, paths.embedded):
+        done = spark.read.schema("file_url string, updated_at timestamp_ntz").parquet(paths.embedded)
+        state = state.join(done, ["file_url", "updated_at"], "left_anti")
+    chosen = mf.files_by_status(state, "completed", max_files).select(
+        "date_partition", urls.url_filename(F.col("file_url")).alias("source_file"), "file_url", "updated_at")
     path = scratch_path(spark, "embed-plan")
-    chosen.where(F.col("date_partition").isNotNull()).write.parquet(path)
-    files = spark.read.schema("date_partition string, source_file string").parquet(path)
+    chosen.write.parquet(path)
+    plan = spark.read.schema(
+        "date_partition string, source_file string, file_url string, updated_at timestamp_ntz"
+    ).parquet(path)
+    files = plan.select("date_partition", "source_file")
     table = VectorTable(spark, paths.vectors, embedder.dimensions)
     counts = embed_incremental(records_to_embed(spark, paths, files), table, embedder)
     counts["files_embedded"] = files.count()
+    plan.select("file_url", "updated_at").write.mode("append").parquet(paths.embedded)
     remove_path(spark, path)
     return counts
 

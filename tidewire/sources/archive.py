@@ -20,7 +20,6 @@ from ..session import path_exists
 from .tables import read_partitions, replace_partitions, small_side
 
 LINES_PER_BATCH = 20_000
-ERROR_HEAD = 500
 
 _UNPACKED = pa.schema(
     [
@@ -108,7 +107,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held:
                     yield emit(name, number, held)
             except Exception as e:  # the file fails, the job goes on
-                error = (str(e) or type(e).__name__)[:ERROR_HEAD]
+                error = str(e) or type(e).__name__
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([name]),
@@ -159,7 +158,7 @@ def checksum_join(unpacked: DataFrame, files: DataFrame) -> DataFrame:
     ).otherwise(F.col("error"))
     return (
         heads.join(wanted, "source_file")
-        .withColumn("error_message", F.substring(message, 1, ERROR_HEAD))
+        .withColumn("error_message", message)
         .select(
             "file_url",
             "source_file",
