@@ -32,13 +32,17 @@ def builder(app_name: str = "tidewire") -> SparkSession.Builder:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    ``spark.checkpoint.dir`` decides.  Where it is unset (tests on one machine)
-    a temporary folder is chosen once and remembered in the session.
+    ``spark.checkpoint.dir`` decides.  Where it is unset a session on one machine
+    (tests) gets a temporary folder, chosen once and remembered in the session;
+    on a cluster that is an error, since each executor would write to its own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not named:
+        master = spark.sparkContext.master
+        if master.startswith("local-cluster") or not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="tidewire-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
