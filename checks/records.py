@@ -85,6 +85,12 @@ def locations(x: str) -> str:
     )
 
 
+# all fields of a location but its coordinates
+PLACE_FIELDS = [
+    "location_type", "full_name", "country_code", "adm1_code", "adm2_code", "feature_id", "char_offset",
+]
+
+
 def t(i: int) -> str:
     return f"coalesce(tp[{i + 1}], '')"
 
@@ -293,9 +299,10 @@ def parse_list(spark, sf):
     "parse_location",
     f"""WITH {RECORDS}, single AS (SELECT line_number, unnest(string_split({f(10)}, ';')) AS v FROM recs),
     one AS (SELECT line_number, {strip('v')} AS v, {locations(strip('v'))} AS l FROM single)
-    SELECT line_number, v, CASE WHEN len(l) > 0 THEN l[1].full_name END AS full_name,
-      CASE WHEN len(l) > 0 THEN l[1].location_type END AS location_type,
-      CASE WHEN len(l) > 0 THEN round(l[1].latitude, 6) END AS latitude FROM one""",
+    SELECT line_number, v, """
+    + ", ".join(f"CASE WHEN len(l) > 0 THEN l[1].{n} END AS {n}" for n in PLACE_FIELDS)
+    + ", CASE WHEN len(l) > 0 THEN round(l[1].latitude, 6) END AS latitude,"
+    " CASE WHEN len(l) > 0 THEN round(l[1].longitude, 6) END AS longitude FROM one",
 )
 def parse_location(spark, sf):
     one = records(spark, sf).select(
@@ -304,7 +311,8 @@ def parse_location(spark, sf):
     one = one.select("line_number", trim_ws(F.col("v")).alias("v"))
     loc = one.withColumn("l", fx.parse_location(F.col("v")))
     return loc.select(
-        "line_number", "v", "l.full_name", "l.location_type", F.round("l.latitude", 6).alias("latitude")
+        "line_number", "v", *[f"l.{n}" for n in PLACE_FIELDS],
+        *[F.round(f"l.{n}", 6).alias(n) for n in ("latitude", "longitude")],
     )
 
 

@@ -17,13 +17,13 @@ from .vectors import CENTER_Q, VT, dist
 
 @query("adv_mrl", f"""WITH short AS (SELECT vec_id, list_transform(embedding[1:16], lambda x: CAST(x AS DOUBLE)) AS h FROM embeddings),
   cut AS (SELECT vec_id, list_transform(h, lambda x: CAST(x / sqrt(list_inner_product(h, h)) AS FLOAT)) AS vector FROM short)
-  SELECT vec_id, CAST(list_sum(list_transform(vector, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT))) AS BIGINT) AS total,
-    len(vector) AS width FROM cut""")
+  SELECT vec_id, array_to_string(list_transform(vector, lambda x: CAST(CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR)), ',')
+    AS thousandths, len(vector) AS width FROM cut""")
 def adv_mrl(spark, sf):
     short = rt.truncate_vectors(inputs.table(spark, sf, "embeddings"), 16, "embedding")
     thousandths = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("bigint"))
-    total = F.aggregate(thousandths, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return short.select("vec_id", total.alias("total"), F.size("embedding").cast("bigint").alias("width"))
+    shown = F.array_join(F.transform(thousandths, lambda x: x.cast("string")), ",")
+    return short.select("vec_id", shown.alias("thousandths"), F.size("embedding").cast("bigint").alias("width"))
 
 
 DIMS = range(1, inputs.VECTOR_WIDTH + 1)

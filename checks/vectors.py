@@ -396,9 +396,13 @@ OK = """(query IS NOT NULL AND length(query) BETWEEN 3 AND 1000 AND limit_n BETW
   AND (date_to IS NULL OR regexp_full_match(date_to, '[0-9]{8}')))"""
 
 
-@query("request_validation", f"WITH {REQ} SELECT qid, {OK} AS is_valid FROM req")
+@query("request_validation", f"""WITH {REQ} SELECT qid, {OK} AS is_valid, CASE
+    WHEN query IS NULL OR length(query) NOT BETWEEN 3 AND 1000 THEN 'query'
+    WHEN limit_n NOT BETWEEN 1 AND 100 THEN 'limit'
+    WHEN date_from IS NOT NULL AND NOT regexp_full_match(date_from, '[0-9]{{8}}') THEN 'date_from'
+    WHEN date_to IS NOT NULL AND NOT regexp_full_match(date_to, '[0-9]{{8}}') THEN 'date_to' END AS problem FROM req""")
 def request_validation(spark, sf):
-    return search.check_requests(inputs.requests(spark, sf)).select("qid", "is_valid")
+    return search.check_requests(inputs.requests(spark, sf)).select("qid", "is_valid", "problem")
 
 
 ASKED = f"""WITH {VT}, {REQ}, asked AS (SELECT * FROM req WHERE {OK}), {duck_embedding('asked', 'qid', 'query')},
