@@ -20,16 +20,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import remove_path
 from . import arrays as A
 from .components import components
+from .steps import broadcast_if_small, step, store
 
 # Bits of an n-gram's hash that name its cell in the table of frequencies (4 MB on every worker).
 CELL_BITS = 22
 CHUNK_BITS = 16
 # 64-bit words of a node's parity sketch.
 SKETCH = 8
-# Nodes whose texts are found by a broadcast table of ids (16 bytes each).
+# Rows of a table of nodes, pairs or keys that may be broadcast (tens of bytes each).
 BROADCAST_NODES = 500_000
 
 
@@ -66,7 +67,8 @@ def frequencies(texts: DataFrame, text_col: str, k: int) -> np.ndarray:
             for part in A.slices(batch, text_col):
                 sets = gram_sets(part[text_col], k)
                 if sets:
-                    cells += np.bincount((np.concatenate(sets) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells)).astype(np.uint32)
+                    at, times = np.unique(np.sort(np.concatenate(sets) >> np.uint64(64 - CELL_BITS)), return_counts=True, sorted=True)
+                    cells[at.astype(np.int64)] += times.astype(np.uint32)
         for c in range(len(cells) // size):
             part = cells[c * size : (c + 1) * size]
             if part.any():
@@ -108,7 +110,7 @@ def profile(grams: np.ndarray, table: np.ndarray, percent: int) -> tuple[bytes,
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), prefix, sketch
 
 
-def _profiles(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+def _profiles(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> tuple[DataFrame, str]:
     """(key, mark, n, digest, prefix, sketch) of every row, ``mark`` a hash of its text; stored."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(frequencies(docs, text_col, k))
@@ -133,16 +135,8 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
                     [part["key"], part["mark"], pa.array([len(g) for g in sets], pa.int64()), pa.array([r[0] for r in rows], pa.binary()), *lists],
                     names=schema.names)
 
-    path = scratch_path(spark, "profiles")
     texts = docs.select(F.col(id_col).alias("key"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
-    texts.mapInArrow(run, schema).write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def _store(df: DataFrame, purpose: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return step(texts.mapInArrow(run, schema), "profiles")
 
 
 def _may_link(percent: int) -> Column:
@@ -165,7 +159,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
               percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough; stored."""
     spark = docs.sparkSession
-    asked = _store(
+    asked = store(
         pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         .join(nodes.select("node", "first", "digest"), "node"), "asked")
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("grams", T.ArrayType(T.LongType()))])
@@ -184,34 +178,40 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
                      pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))], names=schema.names)
 
     texts = docs.select(F.col(id_col).alias("first"), F.col(text_col).alias("text"))
-    small = asked.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
-    wanted = F.broadcast(asked) if small else asked
+    wanted = broadcast_if_small(asked, BROADCAST_NODES)
     chosen = texts.join(wanted, texts["first"].eqNullSafe(wanted["first"])).select("node", "digest", "text")
-    sets = _store(chosen.mapInArrow(run, schema).dropDuplicates(["node"]), "sets")
+    sets = store(chosen.mapInArrow(run, schema), "sets")
+    if sets.count() > asked.count():  # repeated rows
+        sets = store(sets.dropDuplicates(["node"]), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
     both = F.size(F.array_intersect("ga", "gb"))
-    same = pairs.join(left, "a").join(right, "b").filter(
+    same = left.join(broadcast_if_small(pairs, BROADCAST_NODES), "a").join(right, "b").filter(
         both * 100 >= percent * (F.size("ga") + F.size("gb") - both))
-    return _store(same.select("a", "b"), "verified")
+    return store(same.select("a", "b"), "verified")
 
 
 def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """(key, mark, n, root, component_id) of every row of ``docs``; no root for empty sets."""
-    rows = _profiles(docs, id_col, text_col, k, percent)
-    nodes = _store(
-        rows.filter("n > 0").groupBy("digest").agg(
+    spark = docs.sparkSession
+    profiles, profiles_at = _profiles(docs, id_col, text_col, k, percent)
+    rows = store(profiles.select("key", "mark", "n", "digest"), "rows")
+    full, full_at = step(
+        profiles.filter("n > 0").groupBy("digest").agg(
             F.min("key").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
-        .withColumn("node", F.monotonically_increasing_id()), "nodes")
+        .withColumn("node", F.monotonically_increasing_id()), "prefixes")
+    remove_path(spark, profiles_at)
+    nodes = store(full.select("node", "digest", "first", "n", "sketch", F.size("prefix").alias("length")), "nodes")
 
-    postings = nodes.select("node", F.posexplode("prefix").alias("pos", "gram"))
+    postings = full.select("node", F.posexplode("prefix").alias("pos", "gram"))
     shared = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("gram")
-    met = _store(postings.join(shared, "gram"), "met")
+    met = store(postings.join(shared, "gram"), "met")
+    remove_path(spark, full_at)
 
     # the hub of an n-gram: the node most of whose prefix is shared
     support = met.groupBy("node").agg(F.count(F.lit(1)).alias("support"))
-    known = nodes.select("node", "n", "sketch", F.size("prefix").alias("length"))
-    full = _store(
+    known = nodes.select("node", "n", "sketch", "length")
+    full = store(
         met.join(known.join(support, "node"), "node")
         .select("gram", "node", "pos", "n", "sketch", (F.col("support") / F.col("length")).alias("share")), "postings")
     hubs = full.groupBy("gram").agg(F.max_by(F.struct("node", "pos", "n", "sketch"), F.struct("share", -F.col("node"))).alias("hub"))
@@ -222,16 +222,16 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
         found = x.join(y, (F.col("x.gram") == F.col("y.gram")) & also & _may_link(percent))
         return found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
-    to_hubs = _store(across(full, hubs, F.col("x.node") != F.col("y.node")), "pairs")
+    to_hubs = store(across(full, hubs, F.col("x.node") != F.col("y.node")), "pairs")
     links = _verified(to_hubs, nodes, docs, id_col, text_col, k, percent)
     joined = components(links)
 
     # what is left: n-grams met by several components, pairs across them
     placed = full.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_grams = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("gram")
-    placed = _store(placed.join(open_grams, "gram"), "open")
+    placed = store(placed.join(open_grams, "gram"), "open")
     others = across(placed, placed, (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")))
-    others = _store(others.join(to_hubs, ["a", "b"], "left_anti"), "pairs")
+    others = store(others.join(to_hubs, ["a", "b"], "left_anti"), "pairs")
     links = links.union(_verified(others, nodes, docs, id_col, text_col, k, percent))
     joined = components(links)
 
@@ -266,16 +266,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     The smallest id stays, null ids last; of rows that share it one by the hash of
     its text.  Rows with an empty set all stay.  See :func:`classes`.
     """
-    placed = _store(_placed(docs, id_col, text_col, k, percent).filter("n > 0").select("key", "mark", "root"), "placed")
+    placed = store(_placed(docs, id_col, text_col, k, percent).filter("n > 0").select("key", "mark", "root"), "placed")
     rank = F.struct(F.col("key").isNull().alias("no_key"), "key", "mark")
     best = placed.groupBy("root").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("rows"))
     crowded = placed.join(best.filter("rows > 1"), "root").withColumn("stays", rank == F.col("best"))
-    crowded = _store(crowded.select("key", "mark", "stays"), "crowded")
+    crowded = store(crowded.select("key", "mark", "stays"), "crowded")
     gone = crowded.filter("not stays").select(F.col("key").alias("__gone_key"), F.col("mark").alias("__gone_mark")).distinct()
-    small = gone.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
     marked = docs.withColumns({"__mark": F.xxhash64(text_col), "__key": F.col(id_col)})
     here = F.col("__mark").eqNullSafe(F.col("__gone_mark")) & F.col("__key").eqNullSafe(F.col("__gone_key"))
-    left = marked.join(F.broadcast(gone) if small else gone, here, "left_anti")
+    left = marked.join(broadcast_if_small(gone, BROADCAST_NODES), here, "left_anti")
     if not crowded.filter("stays").groupBy("key", "mark").count().filter("count > 1").isEmpty():
         # repeated rows: one of them; texts without words are not touched
         wordless = F.coalesce(F.col(text_col), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
