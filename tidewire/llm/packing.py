@@ -121,6 +121,8 @@ class Bins:
 def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each length; bins are numbered from 0, offsets are gapless."""
     bins = np.zeros(len(lengths), np.int64)
+    if not len(lengths):
+        return bins, bins
     whole = lengths == capacity
     part = np.flatnonzero(~whole)
     if len(part):
