@@ -300,6 +300,10 @@ def set_in(rng: random.Random, words: list[str]) -> tuple[list[str], list[str]]:
             kind, text = entity(rng)
             new = text.split()
             new_tags = [f"{'I' if k else 'B'}-{kind}" for k in range(len(new))]
+            if rng.random() < 0.2:  # another one right behind it
+                kind, text = entity(rng)
+                new_tags += [f"{'I' if k else 'B'}-{kind}" for k in range(len(text.split()))]
+                new += text.split()
             if rng.random() < 0.3:
                 new[-1] += rng.choice([".", ",", "###", "&&&", "!!"])
         else:
