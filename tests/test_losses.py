@@ -8,11 +8,13 @@ from tests.test_runs import HASHING, NOW, land, line, listing
 from tests.test_search import DIM, brute, found, rows
 from tidewire import session
 from tidewire.operators import manifest as mf
-from tidewire.operators import retrieval, search
+from tidewire.operators import records, retrieval, search
 from tidewire.operators.manifest import ManifestLog
 from tidewire.plans import feed_run as fr
 from tidewire.session import scratch_path
+from tidewire.sources import parsed
 from tidewire.sources import vectors as vt
+from tidewire.streaming import feed
 
 COLUMNS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vt.VECTOR_COLUMNS)
 NAN, INF = float("nan"), float("inf")
@@ -111,3 +113,22 @@ class Cluster:
 def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Cluster)
+
+
+def test_stream_and_batch_share_a_store(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "20240131000000.gkg.csv").write_text("\n".join(line(f"a{i}", "20240131", "T") for i in range(5)))
+    store = str(tmp_path / "parsed")
+    feed.stream_ingest(spark, str(src), store, str(tmp_path / "mark")).awaitTermination()
+    batch = parsed.read_parsed(spark, store).withColumns({"source_file": F.lit("20240201000000.gkg.csv"), "date_partition": F.lit("20240201")})
+    parsed.write_parsed(spark.createDataFrame(batch.collect(), batch.schema), store)
+    assert parsed.read_parsed(spark, store).count() == 10
+
+
+def test_few_failed_files_shuffle_no_lines(spark, tmp_path):
+    lines = spark.createDataFrame([(f"f{i % 9}", "short") for i in range(40)] + [("bad", "x\ty\tz")] * 3, "source_file string, value string")
+    lines.write.parquet(str(tmp_path / "lines"))
+    kept = records.drop_failed_files(spark.read.parquet(str(tmp_path / "lines")), max_errors=5)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

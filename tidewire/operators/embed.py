@@ -125,5 +125,14 @@ def one_per_id(records: DataFrame, *order: Column, key: str = "gkg_record_id") -
     return records.withColumn("_rn", F.row_number().over(place)).where("_rn = 1").drop("_rn")
 
 
+def first_of_id() -> list[Column]:
+    """Of several records with one id the earliest file counts, and in it the last line; where lines
+    have no number, the document decides."""
+    return [
+        F.asc_nulls_first("date_partition"), F.asc("source_file"), F.desc_nulls_last("line_number"),
+        F.hash("document_id").asc(),
+    ]
+
+
 def last_per_id(records: DataFrame, *order: str, key: str = "gkg_record_id") -> DataFrame:
     return one_per_id(records, *[F.desc(c) for c in order], key=key)

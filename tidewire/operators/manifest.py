@@ -22,7 +22,8 @@ from ..session import hadoop_path, path_exists, remove_path, scratch_path
 MAX_RETRIES = 3
 STALE_MINUTES = 30
 
-_ORDER = ["event_ts", "seq"]
+# events count in the order they were written; a replay may carry earlier times
+_ORDER = ["seq", "event_ts"]
 
 
 def _ts(now: datetime) -> Column:

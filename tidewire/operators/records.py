@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions import fields as fx
 from ..functions.text import trim_ws
 from ..schemas import FIELDS, LOCATION, MIN_FIELDS, POSITION, STRINGS, TONE
+from ..sources.tables import stored_side
 
 NESTED = ["themes", "locations", "persons", "organizations", "tone"]
 LINE_HEAD = 200
@@ -199,9 +200,13 @@ def drop_failed_files(
     by: str = "source_file",
     value: str = "value",
 ) -> DataFrame:
-    """Lines of the files that do not fail (nothing of a failed file is kept)."""
-    failed = failed_files(lines, max_errors, skip_malformed, by, value)
-    return lines.join(failed.select(by), by, "left_anti")
+    """Lines of the files that do not fail (nothing of a failed file is kept).
+
+    The names of failed files are stored and counted first: where they are few,
+    as they should be, no line is shuffled to drop them.
+    """
+    failed = failed_files(lines, max_errors, skip_malformed, by, value).select(by)
+    return lines.join(stored_side(failed), by, "left_anti")
 
 
 def project_parsed(records: DataFrame, *carried: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..operators import manifest as mf
-from ..operators.embed import Embedder, embed_records, one_per_id
+from ..operators.embed import Embedder, embed_records, first_of_id, one_per_id
 from ..operators.records import MAX_ERRORS, parse_records, parse_stats, project_parsed
 from ..schemas import RUN_STATS
 from ..session import path_exists, remove_path, scratch_path
@@ -292,9 +292,7 @@ def embed_incremental(records: DataFrame, table: VectorTable, embedder: Embedder
     skipped = records.select("gkg_record_id").join(seen, "gkg_record_id", "left_semi").count()
     fresh = one_per_id(
         records.join(seen, "gkg_record_id", "left_anti"),
-        F.asc_nulls_first("date_partition"),
-        F.col("source_file"),
-        F.desc_nulls_last("line_number"),
+        *first_of_id(),
     )
     # Few and well-sized files per month: Spark splits big months, joins small
     # ones.  Done before embedding, while rows are still narrow.

@@ -9,7 +9,7 @@ from ..functions.text import trim_ws
 from ..operators.records import parse_records, project_parsed
 from ..schemas import PARSED_STORED, SHORT_LOCATION, SHORT_TONE, STRINGS
 from ..session import path_exists
-from .tables import read_partitions, replace_partitions, small_side
+from .tables import read_partitions, replace_partitions, small_side, stored_side
 
 PARSED_PARTITIONS = ["date_partition", "source_file"]
 
@@ -154,6 +154,6 @@ def parsed_or_raw(
     parsed: DataFrame, raw_lines: DataFrame, key: str = "source_file"
 ) -> DataFrame:
     """Stored records, plus a fresh parse of the files nothing is stored for."""
-    stored = parsed.select(key).distinct()
+    stored = stored_side(parsed.select(key).distinct())
     missing = raw_lines.join(stored, key, "left_anti")
     return parsed.unionByName(fresh_records(missing, parsed))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import path_exists, remove_path
+from ..session import path_exists, remove_path, scratch_path
 
 BROADCAST_ROWS = 200_000
 
@@ -56,6 +56,14 @@ def read_partitions(
     return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
+def stored_side(keys: DataFrame) -> DataFrame:
+    """Keys that take part in a join, stored once and broadcast if counted small."""
+    spark = keys.sparkSession
+    path = scratch_path(spark, "keys")
+    keys.write.parquet(path)
+    return small_side(spark.read.schema(keys.schema).parquet(path), len(keys.columns))
+
+
 def small_side(df: DataFrame, columns: int = 3) -> DataFrame:
     """Ask for a broadcast if the stored table ``df`` is counted small, else
     leave the join to Spark."""

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import urls
-from ..operators.embed import Embedder, embed_records, one_per_id
+from ..operators.embed import Embedder, embed_records, first_of_id, one_per_id
 from ..operators.records import parse_records, project_parsed
 from ..schemas import PARSED_STORED
-from ..sources.parsed import PARSED_PARTITIONS
-from ..sources.vectors import VectorTable, new_records, vec_row_shape
+from ..sources.parsed import write_parsed
+from ..sources.vectors import VectorTable, folder_month, new_records, vec_row_shape
 
 
 def stream_lines(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
@@ -48,16 +48,22 @@ def stream_ingest(
     checkpoint: str,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Parse what has arrived since the last run into the parsed store."""
+    """Parse what has arrived since the last run into the parsed store.
+
+    A batch replaces what is stored for its files, as a batch run does, so the
+    two can write one store and a repeated batch changes nothing.
+    """
     rows = project_parsed(stream_records(spark, landing, max_files=max_files), "source_file")
     date = F.coalesce(urls.date_partition(F.col("source_file")), F.lit("unknown"))
     stored = rows.withColumns(
         {"line_number": F.lit(None).cast("bigint"), "date_partition": date}
     ).select([f.name for f in PARSED_STORED.fields])
+
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        write_parsed(batch, parsed_path)
+
     return (
-        stored.writeStream.format("parquet")
-        .partitionBy(*PARSED_PARTITIONS)
-        .option("path", parsed_path)
+        stored.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -79,9 +85,9 @@ def stream_embed(
     """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        first = one_per_id(batch, F.col("date_partition"), F.col("source_file"), F.hash("document_id"))
-        fresh = new_records(first, table.read())
-        table.append(vec_row_shape(embed_records(fresh, embedder)))
+        fresh = one_per_id(new_records(batch, table.read()), *first_of_id())
+        month = fresh.withColumn("_month", folder_month(F.col("date_str"))).hint("rebalance", "_month")
+        table.append(vec_row_shape(embed_records(month, embedder)))
 
     reader = spark.readStream.schema(PARSED_STORED).format("parquet")
     if max_files:
