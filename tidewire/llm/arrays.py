@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text handled at once; a single longer text is handled alone.
-SLICE_BYTES = 2 * 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 BLOCK = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -47,6 +47,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         stop = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
         yield batch.slice(at, stop - at)
         at = stop
+    pa.default_memory_pool().release_unused()
 
 
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

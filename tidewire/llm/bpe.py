@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from . import arrays as A
 
 # Distinct words a worker remembers before it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 # Bytes beyond which a word is merged by itself.
 LONG_WORD = 128
 # Characters beyond these ranges are unassigned or private: neither letter, number nor space.
