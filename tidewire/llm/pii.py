@@ -230,12 +230,13 @@ def train(rows: list[tuple[list[str], list[str]]], epochs: int = 60, rate: float
 
 
 def labelled_table(docs: DataFrame, text_col: str = "text", rows: int = 1_200, seed: int = 7) -> list[tuple[list[str], list[str]]]:
-    """Labelled sentences: lines of at most ``rows`` documents (those with the least hash of their
-    text; 400 characters at most, without words of over 24) with entities and look-alikes set in by rule."""
+    """Labelled sentences: lines of at most ``rows`` documents (the least hash of their text in each of as many slots; 400 characters at most, without words of over 24) with entities and look-alikes set in by rule."""
     picked = (
         docs.select(F.substring(F.substring_index(F.col(text_col), "\n", 1), 1, 400).alias("line"), F.xxhash64(text_col).alias("h"))
-        .filter(F.length("line") > 0).orderBy("h", "line").limit(min(rows, LABELLED_ROWS)).collect()
+        .filter(F.length("line") > 0).groupBy(F.pmod("h", F.lit(min(rows, LABELLED_ROWS))).alias("slot"))
+        .agg(F.min(F.struct("h", "line")).alias("least")).select("least.*").collect()
     )
+    picked.sort(key=lambda r: (r["h"], r["line"]))
     rng = random.Random(seed)
     lines = [[w for w in r["line"].split() if len(w) <= 24][:8] for r in picked] or [["a", "line"]]
     return [set_in(rng, lines[k % len(lines)]) for k in range(min(rows, LABELLED_ROWS))]

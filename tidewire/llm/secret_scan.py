@@ -228,11 +228,13 @@ def harmless(rng: random.Random, words: list[str]) -> str:
 def labelled_table(docs: DataFrame, text_col: str = "text", rows: int = 3_000, seed: int = 5) -> list[tuple[bytes, bytes, bytes, int]]:
     """Labelled findings (before, candidate, after, 0/1): secrets and look-alikes made by rule, set
     into first lines (400 characters at most, without words of over 24) of at most ``rows`` documents
-    (those with the least hash of their text)."""
+    (the least hash of their text in each of as many slots)."""
     picked = (
         docs.select(F.substring(F.substring_index(F.col(text_col), "\n", 1), 1, 400).alias("line"), F.xxhash64(text_col).alias("h"))
-        .filter(F.length("line") > 0).orderBy("h", "line").limit(min(rows, LABELLED_ROWS)).collect()
+        .filter(F.length("line") > 0).groupBy(F.pmod("h", F.lit(min(rows, LABELLED_ROWS))).alias("slot"))
+        .agg(F.min(F.struct("h", "line")).alias("least")).select("least.*").collect()
     )
+    picked.sort(key=lambda r: (r["h"], r["line"]))
     rng = random.Random(seed)
     lines = [[w for w in r["line"].split() if len(w) <= 24][:40] for r in picked]
     lines = [x for x in lines if x] or [["a", "line", "of", "words"]]
