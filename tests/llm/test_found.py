@@ -91,6 +91,37 @@ def test_crf_on_rows_kept_apart(spark, small, crf):
     assert right / mine > 0.9 and right / gold > 0.85
 
 
+def placed(words, tags):
+    """(kind, start, end) of the labelled entities in the words joined by spaces."""
+    text, out = " ".join(words), set()
+    for i, j, kind in entities(tags):
+        lo = len(" ".join(words[:i])) + (i > 0)
+        hi, edge = len(" ".join(words[:j])), pii.EDGE.decode()
+        out.add((kind, hi - len(text[lo:hi].lstrip(edge)), lo + len(text[lo:hi].rstrip(edge))))
+    return out
+
+
+def test_spelled_out_addresses_are_found_in_texts(crf):
+    forms = ["info[at]post.org", "j.doe[at]example.org", "ann (at) example (dot) com", "info [at] post [dot] net", "info [AT] post [DOT] net"]
+    texts = [f"please write to {f} or come by the office in town" for f in forms]
+    got = pii.find(pa.array(texts), crf).to_pylist()
+    assert [[t[s["start"] : s["end"]] for s in f] for t, f in zip(texts, got)] == [[f] for f in forms]
+    # half of a form at the end of one text and half in the next is none
+    assert not pii.spelled(*(np.array(x) for x in (np.frombuffer(b"(at)", np.uint8), [0, 2], [2, 4]))).any()
+
+
+def test_recall_through_find(spark, small, crf):
+    """Whole texts, as they are searched: base spans or the CRF's, at the exact place."""
+    rows = pii.labelled_table(spark.read.parquet(f"{small}/documents.parquet"), rows=300, seed=99)
+    found = pii.find(pa.array([" ".join(w) for w, _ in rows]), crf).to_pylist()
+    right = gold = 0
+    for (words, tags), f in zip(rows, found):
+        expected = placed(words, tags)
+        right, gold = right + len(expected & {(s["kind"], s["start"], s["end"]) for s in f}), gold + len(expected)
+    print(f"recall through find(): {right} of {gold}")
+    assert right / gold > 0.85
+
+
 def test_viterbi_is_the_best_path(crf):
     rng = np.random.default_rng(0)
     small_crf = pii.Crf(rng.normal(size=(pii.FEATURES, len(pii.TAGS))).astype(np.float32), rng.normal(size=(len(pii.TAGS),) * 2).astype(np.float32))
