@@ -126,6 +126,22 @@ def test_stream_and_batch_share_a_store(spark, tmp_path):
     assert parsed.read_parsed(spark, store).count() == 10
 
 
+def test_files_of_one_name_in_several_folders_are_all_kept(spark, tmp_path):
+    """One file a batch: what a batch brings does not replace a namesake of an earlier one."""
+    src, store = tmp_path / "in put", str(tmp_path / "parsed")
+    deep = "/".join(["a-folder-with-a-long-name=20240131"] * 12)
+    for k, folder in enumerate([".", "day=1", "day=2", "day=1/a b", deep]):
+        (src / folder).mkdir(parents=True, exist_ok=True)
+        (src / folder / "part-00003.csv").write_text("\n".join(line(f"{k}-{i}", "20240131", "T") for i in range(5)))
+    for _ in range(2):  # again with the progress lost
+        feed.stream_ingest(spark, str(src), store, str(tmp_path / f"mark{_}"), max_files=1).awaitTermination()
+        rows = parsed.read_parsed(spark, store)
+        assert sorted(r[0] for r in rows.select("gkg_record_id").collect()) == [f"{k}-{i}" for k in range(5) for i in range(5)]
+    names = sorted(r[0] for r in rows.select("source_file").distinct().collect())
+    assert len(names) == 5 and {"part-00003.csv", "day=1/part-00003.csv", "day=2/part-00003.csv", "day=1/a%20b/part-00003.csv"} < set(names)
+    assert {r[0] for r in rows.select("date_partition").distinct().collect()} == {"unknown"}
+
+
 def test_few_failed_files_shuffle_no_lines(spark, tmp_path):
     lines = spark.createDataFrame([(f"f{i % 9}", "short") for i in range(40)] + [("bad", "x\ty\tz")] * 3, "source_file string, value string")
     lines.write.parquet(str(tmp_path / "lines"))

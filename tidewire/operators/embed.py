@@ -126,11 +126,11 @@ def one_per_id(records: DataFrame, *order: Column, key: str = "gkg_record_id") -
 
 
 def first_of_id() -> list[Column]:
-    """Of several records with one id the earliest file counts, and in it the last line; where lines
-    have no number, the document decides."""
+    """Of several records with one id the earliest file counts (by name, then by folder), and in it the
+    last line; where lines have no number, the document decides."""
     return [
-        F.asc_nulls_first("date_partition"), F.asc("source_file"), F.desc_nulls_last("line_number"),
-        F.hash("document_id").asc(),
+        F.asc_nulls_first("date_partition"), F.element_at(F.split("source_file", "/"), -1).asc(),
+        F.asc("source_file"), F.desc_nulls_last("line_number"), F.hash("document_id").asc(),
     ]
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,9 +16,29 @@ from ..functions import urls
 from ..operators.embed import Embedder, embed_records, first_of_id, one_per_id
 from ..operators.records import parse_records, project_parsed
 from ..schemas import PARSED_STORED
+from ..session import hadoop_path
 from ..sources.parsed import write_parsed
 from ..sources.vectors import VectorTable, folder_month, new_records, vec_row_shape
 
+# Bytes of a folder name that file systems take, less the column's name and a margin.
+FOLDER_NAME = 200
+
+
+def landed_name(spark: SparkSession, landing: str) -> Column:
+    """A file's path below ``landing`` as in its URL, so that files of one name in several folders stay apart.
+
+    A file directly in ``landing`` has its base name, one that lies elsewhere
+    (``landing`` being a pattern) its whole path.  The folder of a path too long
+    for the name of a stored partition is replaced by its MD5.
+    """
+    fs, root = hadoop_path(spark, landing)
+    above = fs.makeQualified(root).toUri().getRawPath().rstrip("/") + "/"
+    path = F.regexp_replace(F.col("_metadata.file_path"), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    below = F.when(F.startswith(path, F.lit(above)), F.substring(path, len(above) + 1, 1 << 30)).otherwise(path)
+    escaped = F.octet_length(F.regexp_replace(below, "[^A-Za-z0-9._-]", "%XXX"))
+    short = F.concat(F.md5(F.regexp_replace(below, "(?s)/[^/]*$", "")), F.lit("/"), F.element_at(F.split(below, "/"), -1))
+    return F.when((escaped > FOLDER_NAME) & below.contains("/"), short).otherwise(below)
+
 
 def stream_lines(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
     """Lines of text files as they arrive below ``landing``."""
@@ -27,7 +47,7 @@ def stream_lines(spark: SparkSession, landing: str, max_files: int | None = None
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(landing).select(
         F.make_valid_utf8("value").alias("value"),
-        urls.url_filename(F.col("_metadata.file_path")).alias("source_file"),
+        landed_name(spark, landing).alias("source_file"),
     )
 
 
@@ -50,11 +70,13 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Parse what has arrived since the last run into the parsed store.
 
-    A batch replaces what is stored for its files, as a batch run does, so the
-    two can write one store and a repeated batch changes nothing.
+    A batch replaces what is stored for its files, as a batch run does, so a
+    repeated batch changes nothing.  Files are told apart by their path below
+    ``landing``; a batch run knows base names only, so the two can write one
+    store where files lie directly in ``landing``.
     """
     rows = project_parsed(stream_records(spark, landing, max_files=max_files), "source_file")
-    date = F.coalesce(urls.date_partition(F.col("source_file")), F.lit("unknown"))
+    date = F.coalesce(urls.date_partition(urls.url_filename(F.col("source_file"))), F.lit("unknown"))
     stored = rows.withColumns(
         {"line_number": F.lit(None).cast("bigint"), "date_partition": date}
     ).select([f.name for f in PARSED_STORED.fields])
