@@ -143,6 +143,31 @@ def test_search_empties_bins():
     assert after <= before and (np.bincount(packer.bin_of, lengths) <= 2048).all()
 
 
+def test_every_exchange_is_tried():
+    """A bin is given up only if no move and no exchange of one for one, two for one or one for two is left."""
+    rng = np.random.default_rng(5)
+    stuck = 0
+    for _ in range(3000):
+        top = int(rng.integers(8, 60))
+        lengths = np.concatenate([rng.integers(6, top, rng.integers(2, 14)), rng.integers(1, top, rng.integers(2, 6))])
+        split = int(rng.integers(2, len(lengths)))
+        bins = (np.arange(len(lengths)) >= split).astype(np.int64)
+        fill = np.bincount(bins, lengths).astype(np.int64)
+        gap = int(rng.integers(1, 6))
+        if fill[1] < fill[0]:
+            continue
+        packer = packing.Bins(lengths, 1000)
+        packer.capacity, packer.bin_of, packer.fill = int(fill[1]) + gap, bins.copy(), fill.copy()
+        mine, theirs = lengths[:split].tolist(), lengths[split:].tolist()
+        pairs = lambda x: [x[i] + x[j] for i in range(len(x)) for j in range(i)]
+        gains = mine + [m - t for m in mine + pairs(mine) for t in theirs] + [m - p for m in mine for p in pairs(theirs)]
+        possible = any(0 < g <= gap for g in gains)
+        assert packer._improve(0) == possible, (mine, theirs, gap)
+        assert (np.bincount(packer.bin_of, lengths, 2) == packer.fill).all() and fill[1] <= packer.fill[1] <= packer.capacity
+        stuck += not possible
+    assert stuck
+
+
 def test_pieces_and_places(spark, library):
     rows = edge_rows()
     cut = packing.pieces(table(spark, rows), TOKENIZER, capacity=64)

@@ -80,29 +80,35 @@ class Bins:
         theirs = np.flatnonzero(gap[self.bin_of] > 0)
         room = gap[self.bin_of[theirs]]
         best, gain = None, 0
-        # one for one, two for one: what leaves bin b is longer than what comes back
-        groups = [(i,) for i in mine.tolist()]
-        if len(mine) > 1:
-            few = mine[np.argsort(size[mine])][:8].tolist()
-            groups += [(i, j) for k, i in enumerate(few) for j in few[:k]]
-        for out in groups:
-            more = size[list(out)].sum() - size[theirs]
-            more = np.where((more > 0) & (more <= room), more, 0)
-            k = int(np.argmax(more)) if len(more) else 0
-            if len(more) and more[k] > gain:
-                best, gain = (out, (int(theirs[k]),)), int(more[k])
-        # one for two of the same bin: neighbours in order of size stand for the pairs
+        # one for one, two for one: what leaves bin b is longer than what comes back; of equal sizes two at most matter
+        few = mine[np.argsort(size[mine], kind="stable")]
+        few = few[np.concatenate([np.ones(min(2, len(few)), bool), size[few[2:]] != size[few[:-2]]])]
+        one, two = np.triu_indices(len(few), 1)
+        out = np.stack([np.concatenate([few, few[one]]), np.concatenate([np.full(len(few), -1), few[two]])], 1)
+        leaves = np.concatenate([size[few], size[few[one]] + size[few[two]]])
+        order = np.argsort(leaves, kind="stable")
+        out, leaves = out[order], leaves[order]
+        k = np.searchsorted(leaves, size[theirs] + room, "right") - 1
+        more = np.where(k >= 0, leaves[k] - size[theirs], 0)
+        if len(more) and more.max() > gain:
+            t = int(np.argmax(more))
+            best, gain = (tuple(i for i in out[k[t]].tolist() if i >= 0), (int(theirs[t]),)), int(more[t])
+        # one for two of the same bin: neighbours in order of size, all other pairs if nothing is found
         order = np.lexsort((size[theirs], self.bin_of[theirs]))
-        mates = theirs[order]
-        two = np.flatnonzero(self.bin_of[mates[1:]] == self.bin_of[mates[:-1]])
-        if len(two):
-            pair = size[mates[two]] + size[mates[two + 1]]
-            for i in mine.tolist():
-                more = size[i] - pair
-                more = np.where((more > 0) & (more <= gap[self.bin_of[mates[two]]]), more, 0)
-                k = int(np.argmax(more))
-                if more[k] > gain:
-                    best, gain = ((i,), (int(mates[two[k]]), int(mates[two[k] + 1]))), int(more[k])
+        mates = theirs[order][size[theirs[order]] < size[few[-1]]]
+        where, length = self.bin_of[mates], size[mates]
+        mates = mates[np.concatenate([np.ones(min(2, len(mates)), bool), (length[2:] != length[:-2]) | (where[2:] != where[:-2])])]
+        where, length = self.bin_of[mates], size[mates]
+        for lag in range(1, len(mates)):
+            at = np.flatnonzero(where[lag:] == where[:-lag])
+            if not len(at) or (lag > 1 and best is not None):
+                break
+            pair = length[at] + length[at + lag]
+            k = np.searchsorted(size[few], pair + gap[where[at]], "right") - 1
+            more = np.where(k >= 0, size[few[k]] - pair, 0)
+            t = int(np.argmax(more))
+            if more[t] > gain:
+                best, gain = ((int(few[k[t]]),), (int(mates[at[t]]), int(mates[at[t] + lag]))), int(more[t])
         if best is None:
             return False
         target = self.bin_of[best[1][0]]
