@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, bpe, exact, jaccard, packing, pii, repetition, secret_scan, spans, substrings, url_rules
+from . import attribution, bpe, exact, fim, jaccard, packing, pii, repetition, secret_scan, spans, substrings, url_rules
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -176,3 +176,35 @@ def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     cut = substrings.cut_repeats(table(spark, sf, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
+def _op12_part(i: int) -> str:
+    return f"('0x' || substr(h, {8 * i + 1}, 8))::UBIGINT"
+
+
+_OP12_SQL = f"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
+        sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    u AS (SELECT doc_id, text, regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+') AS units,
+        {_op12_part(0)} AS h1, {_op12_part(1)} AS h2, {_op12_part(2)} AS h3, {_op12_part(3)} AS h4 FROM t),
+    c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS lo,
+        greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS hi FROM u),
+    p AS (SELECT doc_id, text, n,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+            OR h3 % 100 >= {fim.FIM_PERCENT} THEN 'plain' WHEN h4 % 100 < {fim.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form,
+        array_to_string(units[1:lo], '') AS prefix, array_to_string(units[lo + 1:hi], '') AS middle,
+        array_to_string(units[hi + 1:n], '') AS suffix FROM c)
+    SELECT doc_id, n::BIGINT AS n, form,
+        CASE WHEN form = 'plain' THEN NULL ELSE length(prefix) END::BIGINT AS prefix_chars,
+        CASE WHEN form = 'plain' THEN NULL ELSE length(middle) END::BIGINT AS middle_chars,
+        sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM p"""
+
+
+@query("op12_fill_in_middle", _OP12_SQL)
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    out = fim.transform(table(spark, sf, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
