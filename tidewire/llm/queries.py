@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, bpe, exact, fim, jaccard, packing, pii, repetition, secret_scan, spans, substrings, url_rules
+from . import attribution, bpe, exact, fim, jaccard, lexical, packing, pii, repetition, secret_scan, spans, substrings, url_rules
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -208,3 +208,27 @@ def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
     out = fim.transform(table(spark, sf, "documents"))
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
                       F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def _op13_terms(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{lexical.UPPER}', '{lexical.UPPER.lower()}'), '{lexical.TERM}')"
+
+
+_OP13_SQL = f"""
+    WITH d AS (SELECT doc_id, {_op13_terms("text")} AS ts FROM documents),
+    st AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS big_n, sum(len(ts)) AS big_l FROM d),
+    dt AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS t FROM d) GROUP BY ALL),
+    q AS (SELECT item_id, t, count(*) AS qc FROM (SELECT item_id, unnest({_op13_terms("text")}) AS t FROM benchmark) GROUP BY ALL),
+    df AS (SELECT t, count(*) AS df FROM dt WHERE t IN (SELECT t FROM q) GROUP BY t),
+    w AS (SELECT t, floor(1000 * ln((2 * big_n + 2) / (2 * df + 1)))::BIGINT AS w FROM df, st),
+    dm AS (SELECT doc_id, 25 + (75 * len(ts) * big_n) // big_l AS m FROM d, st),
+    s AS (SELECT item_id, doc_id, sum(qc * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+        FROM q JOIN w USING (t) JOIN dt USING (t) JOIN dm USING (doc_id) GROUP BY item_id, doc_id)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    WHERE rank <= {lexical.TOP}"""
+
+
+@query("op13_lexical_search", _OP13_SQL)
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
