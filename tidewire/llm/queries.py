@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, bpe, exact, fim, jaccard, lexical, packing, pii, repetition, secret_scan, spans, substrings, url_rules
+from . import attribution, bpe, exact, fim, jaccard, lexical, toxicity, packing, pii, repetition, secret_scan, spans, substrings, url_rules
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -232,3 +232,14 @@ _OP13_SQL = f"""
 @query("op13_lexical_search", _OP13_SQL)
 def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op11_toxicity")
+def op11_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all documents; labels of rows that are not held out train the model."""
+    docs = table(spark, sf, "documents")
+    model = toxicity.train(toxicity.labelled_sample(docs, table(spark, sf, "labels")), docs)
+    scored = toxicity.score_texts(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                         "n_terms", "best", F.size("passages").cast("long").alias("n_passages"))
