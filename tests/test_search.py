@@ -1,5 +1,6 @@
 """Vector table and search against brute force."""
 
+import re
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -81,11 +82,10 @@ def requests(spark, n):
                                              "countries array<string>, themes array<string>")
 
 
-@pytest.mark.parametrize("block, filters", [(4096, 64), (7, 64), (4096, 3), (5, 2)])
-def test_batch_in_any_number_of_passes(spark, table, monkeypatch, block, filters):
+@pytest.mark.parametrize("block, cells", [(4096, 500), (7, 500), (4096, 40), (5, 3)])
+def test_batch_in_any_number_of_blocks(spark, table, monkeypatch, block, cells):
     monkeypatch.setattr(search, "BLOCK", block)
-    monkeypatch.setattr(search, "FILTERS_PER_PASS", filters)
-    monkeypatch.setattr(search, "CELLS", 500)
+    monkeypatch.setattr(search, "CELLS", cells)
     data, df = requests(spark, 30)
     got = {}
     for r in search.knn_batch(table.read(), df).orderBy("qid", "rank").collect():
@@ -191,3 +191,28 @@ def test_last_record_wins(spark):
     assert sorted((r["source_url"], r["text_hash"]) for r in got) == [("d999", "h1"), ("d999", "h2")]
     assert len(got[0]["locations"]) == 9 and got[0]["countries"] == ["B0", "B1", "B2"]
     assert got[0]["tone"] == 0.0 and got[0]["source"] == ""
+
+
+def test_one_scan_for_many_requests_and_filters(spark, table):
+    rng = np.random.default_rng(7)
+    data = [(f"q{i}", rng.normal(size=DIM).tolist(), 1 + i % 5, f"2024{1 + i % 12:02d}{1 + i % 27:02d}", None,
+             [f"C{i % 4}", f"C{(i + 1) % 4}"] if i % 3 else None, [f"th_{i % 5}"] if i % 2 else None) for i in range(300)]
+    df = spark.createDataFrame(data, "qid string, vector array<double>, limit int, date_from string, date_to string, "
+                                     "countries array<string>, themes array<string>")
+    near = search.knn_batch(table.read(), df)
+    plan = spark._jvm.PythonSQLUtils.explainString(near._jdf.queryExecution(), "formatted")
+    schemas = [line for line in plan.splitlines() if "ReadSchema" in line]
+    with_vector = [line for line in schemas if "vector:" in line]
+    assert len(with_vector) == 1, schemas
+    assert "persons" not in with_vector[0] and "source_url" not in with_vector[0]
+    assert len(re.findall(r"^\(\d+\) \w*MapInArrow", plan, re.M)) == 1
+    got = {}
+    for r in near.orderBy("qid", "rank").collect():
+        got.setdefault(r["qid"], []).append(r["gkg_record_id"])
+
+    def keep(lo, cc, th):
+        return lambda r: (r[1] >= lo and r[1] != "") and (not cc or r[7][0] in cc) and (
+            not th or any(t.lower() in " ".join(r[3]).lower() for t in th))
+
+    for qid, v, k, lo, _, cc, th in data:
+        assert got.get(qid, []) == brute(v, k, keep(lo, cc, th)), qid

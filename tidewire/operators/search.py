@@ -1,12 +1,13 @@
 """Nearest-neighbour search over the vector table, one request or many.
 
-A block of request vectors (at most ``BLOCK``) travels to the executors; each
-task scores its Arrow batches against the whole block with one matrix product
-and passes on at most ``k`` rows per request and batch.  Pairs are never
-materialised.  More requests than one block are answered block by block, each
-result being written to the shared folder, so the driver holds one block at a
-time.  A pass over the table per block costs little next to the arithmetic: a
-row of 6 KB is multiplied with thousands of vectors.
+Requests are written to the shared folder, not collected.  The table is scanned
+once for any number of them: each task buffers its own rows (id, month, vector
+and the filter columns only), then reads the stored requests block by block (at
+most ``BLOCK``), scores its rows against a block with one matrix product per
+slice, rescoring candidates exactly, and keeps the best rows of each request of
+the block until its rows are done.  Only (request, id, month, distance) leave the
+task; pairs are never materialised.  Ranking runs in slices, then whole; the
+winners are joined back to the table for the other columns.
 """
 
 from __future__ import annotations
@@ -25,8 +26,7 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 from .embed import Embedder
 
-BLOCK = 4096  # request vectors per pass: 50 MB at 1536 dimensions
-FILTERS_PER_PASS = 64  # distinct filters evaluated per row in one pass
+BLOCK = 4096  # request vectors a task holds at once: 50 MB at 1536 dimensions
 CELLS = 4_000_000  # distances held at once in a task
 SALTS = 32
 DEFAULT_LIMIT = 10
@@ -136,36 +136,6 @@ def finite(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & ~odd, F.lit(False))
 
 
-@dataclass(frozen=True)
-class _Filter:
-    date_from: str | None
-    date_to: str | None
-    countries: tuple[str, ...]
-    themes: tuple[str, ...]
-
-    def column(self, month: str | None) -> Column:
-        return (
-            within_dates(self.date_from, self.date_to, month)
-            & in_countries(self.countries)
-            & has_themes(self.themes)
-        )
-
-    @property
-    def open(self) -> bool:
-        return not (self.date_from or self.date_to or self.countries or self.themes)
-
-
-@dataclass
-class _Block:
-    numbers: list[int]  # tell requests apart; callers may use a qid twice
-    qids: list[str]
-    vectors: np.ndarray
-    keep: np.ndarray  # rows wanted per request
-    filter_of: np.ndarray  # index into filters, per request
-    filters: list[_Filter]
-    wanted: list[dict]  # limit and lists of each request, for filters after ranking
-
-
 def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Arrow list column -> float64 matrix, and which rows hold finite numbers only.
 
@@ -187,158 +157,6 @@ def _squared(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.square(rows - query).sum(axis=1)
 
 
-def _nearest(block: _Block, payload: list[str], key: str, later: bool):
-    """Arrow function: batches -> the best rows of each batch for each request, with what the
-    filters after ranking need if there are any (``later``)."""
-    qids = np.array(block.qids, dtype=object)
-    numbers = np.array(block.numbers)
-    queries = np.ascontiguousarray(block.vectors, dtype=np.float64)
-    q_norms = np.square(queries).sum(axis=1)
-    keep, filter_of = block.keep, block.filter_of
-    width = queries.shape[1]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[list[tuple[float, str]]] = [[] for _ in qids]
-        worst = np.full(len(qids), np.inf)
-        for whole in batches:
-            step = max(1, CELLS // max(1, len(qids)))
-            for start in range(0, whole.num_rows, step):
-                batch = whole.slice(start, step)
-                rows, usable = _matrix(batch.column("_vector"), width)
-                marks = batch.column("_marks").flatten().to_numpy(zero_copy_only=False)
-                marks = marks.reshape(len(rows), -1).astype(bool) & usable[:, None]
-                norms = np.square(rows).sum(axis=1)
-                near = norms[:, None] + q_norms[None, :] - 2.0 * (rows @ queries.T)
-                near[~marks[:, filter_of]] = np.inf
-                # the product form rounds differently: allow for it, then redo exactly
-                slack = 1e-9 * (1.0 + norms.max(initial=0.0) + q_norms)
-                ids = None
-                out_q, out_row, out_dist = [], [], []
-                for j in np.flatnonzero(near.min(axis=0) <= worst + slack):
-                    column, k = near[:, j], int(keep[j])
-                    bound = worst[j]
-                    if len(column) > k:
-                        bound = min(bound, np.partition(column, k - 1)[k - 1])
-                    found = np.flatnonzero((column <= bound + slack[j]) & np.isfinite(column))
-                    if not len(found):
-                        continue
-                    if ids is None:
-                        ids = np.array(batch.column(key).to_pylist(), dtype=object)
-                    exact = _squared(rows[found], queries[j])
-                    order = sorted(zip(exact.tolist(), ids[found].tolist(), found.tolist()))[:k]
-                    if len(best[j]) == k:
-                        order = [o for o in order if (o[0], o[1]) < best[j][-1]]
-                    best[j] = sorted(best[j] + [(d, i) for d, i, _ in order])[:k]
-                    if len(best[j]) == k:
-                        worst[j] = best[j][-1][0]
-                    out_q += [j] * len(order)
-                    out_row += [o[2] for o in order]
-                    out_dist += [o[0] for o in order]
-                if out_row:
-                    taken = batch.select(payload).take(pa.array(out_row, pa.int64()))
-                    asked = [block.wanted[j] for j in out_q] if later else []
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(numbers[out_q], pa.int64()),
-                            pa.array(qids[out_q].tolist(), pa.string()),
-                            pa.array(keep[out_q], pa.int32()),
-                            pa.array(out_dist, pa.float64()),
-                            *taken.columns,
-                            *[pa.array([w[c] for w in asked], t) for c, t in _LATER.items() if later],
-                        ],
-                        names=["_number", "qid", "_keep", "distance", *payload, *(_LATER if later else ())],
-                    )
-
-    return run
-
-
-# what filters after ranking need of a request
-_LATER = {"_limit": pa.int32(), "_countries": pa.list_(pa.string()), "_themes": pa.list_(pa.string())}
-
-
-def _score_pass(
-    store: DataFrame, block: _Block, payload: list[str], key: str, vector: str, later: bool
-) -> DataFrame:
-    """Best rows per request of one block of requests."""
-    month = "year_month" if "year_month" in store.columns else None
-    conditions = [f.column(month) for f in block.filters]
-    rows = store
-    if not any(f.open for f in block.filters):
-        either = conditions[0]
-        for c in conditions[1:]:
-            either = either | c
-        rows = rows.where(either)
-    scored = rows.select(
-        *payload,
-        F.col(vector).alias("_vector"),
-        F.array(*[F.coalesce(c, F.lit(False)) for c in conditions]).alias("_marks"),
-    )
-    strings = T.ArrayType(T.StringType())
-    asked = {"_limit": T.IntegerType(), "_countries": strings, "_themes": strings} if later else {}
-    schema = T.StructType(
-        [
-            T.StructField("_number", T.LongType()),
-            T.StructField("qid", T.StringType()),
-            T.StructField("_keep", T.IntegerType()),
-            T.StructField("distance", T.DoubleType()),
-        ]
-        + [store.schema[c] for c in payload]
-        + [T.StructField(c, t) for c, t in asked.items()]
-    )
-    near = scored.mapInArrow(_nearest(block, payload, key, later), schema)
-    most = int(block.keep.max())
-    # Many tasks may send rows for one request: rank in slices first, then all.
-    salted = W.partitionBy("_number", "_salt").orderBy("distance", key)
-    whole = W.partitionBy("_number").orderBy("distance", key)
-    ranked = (
-        near.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
-        .withColumn("rank", F.row_number().over(salted))
-        .where(F.col("rank") <= most)
-        .withColumn("rank", F.row_number().over(whole))
-        .where((F.col("rank") <= most) & (F.col("rank") <= F.col("_keep")))
-        .drop("_salt", "_keep")
-    )
-    return _postfilter(ranked, key) if later else ranked.drop("_number")
-
-
-def _blocks(rows: Iterable, keep_factor, with_lists: bool) -> Iterator[_Block]:
-    """Cut requests into blocks of bounded size and number of filters."""
-    taken: list = []
-    filters: dict[_Filter, int] = {}
-
-    def finish() -> _Block:
-        return _Block(
-            [n for *_, n in taken],
-            [r["qid"] for r, *_ in taken],
-            np.array([r["vector"] for r, *_ in taken], dtype=np.float64),
-            np.array([k for _, k, _, _ in taken]),
-            np.array([f for _, _, f, _ in taken]),
-            list(filters),
-            [
-                {"_limit": int(r["limit"]), "_countries": list(r["countries"] or []), "_themes": list(r["themes"] or [])}
-                for r, *_ in taken
-            ],
-        )
-
-    for number, r in enumerate(rows):
-        # a request without a vector of finite numbers has no neighbours
-        if r["vector"] is None or not all(x is not None and math.isfinite(x) for x in r["vector"]):
-            continue
-        own = _Filter(
-            r["date_from"],
-            r["date_to"],
-            tuple(r["countries"] or ()) if with_lists else (),
-            tuple(r["themes"] or ()) if with_lists else (),
-        )
-        full = own not in filters and len(filters) == FILTERS_PER_PASS
-        if taken and (full or len(taken) == BLOCK):
-            yield finish()
-            taken, filters = [], {}
-        taken.append((r, keep_factor(r), filters.setdefault(own, len(filters)), number))
-    if taken:
-        yield finish()
-
-
 def _with_request_columns(requests: DataFrame) -> DataFrame:
     """All request columns, absent ones as null or default."""
     types = {
@@ -357,6 +175,262 @@ def _with_request_columns(requests: DataFrame) -> DataFrame:
     return out.select(F.col("qid").cast("string").alias("qid"), "vector", limit, *types)
 
 
+
+# ---------------------------------------------------------------- one scan for all requests
+
+# Requests as they are stored in the shared folder, which every task reads block by block.
+REQUEST_TABLE = T.StructType([
+    T.StructField("_number", T.LongType()), T.StructField("qid", T.StringType()),
+    T.StructField("vector", T.ArrayType(T.DoubleType())), T.StructField("_keep", T.IntegerType()),
+    T.StructField("_limit", T.IntegerType()), T.StructField("date_from", T.StringType()),
+    T.StructField("date_to", T.StringType()), T.StructField("countries", T.ArrayType(T.StringType())),
+    T.StructField("themes", T.ArrayType(T.StringType())),
+])
+PAIRS = 1 << 16  # candidate pairs rescored exactly at once
+BROADCAST_WINNERS = 1_000_000  # winners joined back by broadcast up to this bound
+
+
+def _filesystem(path: str):
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), path
+
+
+def request_blocks(path: str, size: int) -> Iterator[pa.Table]:
+    """The stored requests, ``size`` rows at a time, read by a task from the shared folder."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    fs, root = _filesystem(path)
+    files = sorted(
+        i.path for i in fs.get_file_info(pafs.FileSelector(root))
+        if i.is_file and i.base_name.endswith(".parquet") and not i.base_name.startswith(("_", "."))
+    )
+    held, count = [], 0
+    for name in files:
+        for batch in pq.ParquetFile(name, filesystem=fs).iter_batches(batch_size=size):
+            held.append(batch)
+            count += batch.num_rows
+            while count >= size:
+                whole = pa.Table.from_batches(held)
+                yield whole.slice(0, size)
+                rest = whole.slice(size)
+                held, count = rest.to_batches(), rest.num_rows
+    if count:
+        yield pa.Table.from_batches(held)
+
+
+def store_requests(requests: DataFrame, keep_factor: int = 1) -> str:
+    """Write the requests, numbered, to the shared folder; return its path.
+
+    Requests are never collected: tasks read them from there.  ``keep_factor`` times
+    the limit is fetched.
+    """
+    asked = _with_request_columns(requests)
+    rows = asked.select(
+        F.monotonically_increasing_id().alias("_number"), "qid", F.col("vector").cast("array<double>").alias("vector"),
+        (F.col("limit") * keep_factor).cast("int").alias("_keep"), F.col("limit").cast("int").alias("_limit"),
+        "date_from", "date_to", "countries", "themes",
+    )
+    path = scratch_path(requests.sparkSession, "requests")
+    rows.write.parquet(path)
+    return path
+
+
+def _ranks(*arrays: np.ndarray) -> list[np.ndarray]:
+    """Integer stand-ins for strings that compare as the strings do; null becomes -1."""
+    flat = np.concatenate([np.asarray(a, dtype=object) for a in arrays]) if arrays else np.zeros(0, object)
+    there = np.array([v is not None for v in flat], bool)
+    ranks = np.full(len(flat), -1, np.int64)
+    if there.any():
+        values = flat[there].astype(str)
+        uniq, inverse = np.unique(values, return_inverse=True)
+        ranks[there] = inverse
+    out, at = [], 0
+    for a in arrays:
+        out.append(ranks[at : at + len(a)])
+        at += len(a)
+    return out
+
+
+class _Rows:
+    """The rows of one task, buffered once, with what the filters of any request need."""
+
+    def __init__(self, table: pa.Table, key: str, month: str | None):
+        self.table = table
+        self.n = table.num_rows
+        ids = np.array(table.column(key).to_pylist(), dtype=object)
+        self.ids = ids
+        order = sorted(range(self.n), key=lambda i: (ids[i] is None, ids[i] or ""))
+        self.id_rank = np.empty(self.n, np.int64)
+        self.id_rank[order] = np.arange(self.n)
+        self.months = table.column(month).to_pylist() if month else [None] * self.n
+        self.month = month
+        self._dates = table.column("date").to_pylist()
+        self._countries = None
+        self._themes = None
+
+    def allowed(self, req: pa.Table, lists: bool = True) -> np.ndarray | None:
+        """rows x requests: which rows each request may see; None when no request filters.
+
+        Without ``lists`` only the dates count."""
+        b = req.num_rows
+        ok = np.ones((self.n, b), bool)
+        froms, tos = req.column("date_from").to_pylist(), req.column("date_to").to_pylist()
+        filtered = False
+        if any(froms) or any(tos):
+            filtered = True
+            low = [f[:6] if f else None for f in froms]
+            high = [t[:6] if t else None for t in tos]
+            d, m, f, t, lo6, hi6 = _ranks(self._dates, self.months, froms, tos, low, high)
+            dated = d >= 0
+            for j in range(b):
+                if froms[j]:
+                    ok[:, j] &= dated & (d >= f[j])
+                    if self.month:
+                        ok[:, j] &= (m >= lo6[j]) | np.array([x == "unknown" for x in self.months])
+                if tos[j]:
+                    ok[:, j] &= dated & (d <= t[j])
+                    if self.month:
+                        ok[:, j] &= ((m >= 0) & (m <= hi6[j])) | np.array([x == "unknown" for x in self.months])
+        asked = req.column("countries").to_pylist() if lists else []
+        if any(asked):
+            filtered = True
+            names = sorted({c for cs in asked if cs for c in cs if c is not None})
+            where = {c: i for i, c in enumerate(names)}
+            has = np.zeros((self.n, len(names)), np.float32)
+            if self._countries is None:
+                self._countries = self.table.column("countries").to_pylist()
+            for i, cs in enumerate(self._countries):
+                for c in cs or ():
+                    if c in where:
+                        has[i, where[c]] = 1
+            want = np.zeros((len(names), b), np.float32)
+            for j, cs in enumerate(asked):
+                for c in cs or ():
+                    if c is not None:
+                        want[where[c], j] = 1
+            overlap = (has @ want) > 0
+            for j, cs in enumerate(asked):
+                if cs:
+                    ok[:, j] &= overlap[:, j]
+        terms = req.column("themes").to_pylist() if lists else []
+        if any(terms):
+            filtered = True
+            words = sorted({t.lower() for ts in terms if ts for t in ts if t is not None})
+            if self._themes is None:
+                lists = self.table.column("themes").to_pylist()
+                self._themes = pa.array([None if x is None else " ".join(v for v in x if v is not None).lower() for x in lists],
+                                        pa.string())
+            import pyarrow.compute as pc
+
+            found = np.stack([pc.fill_null(pc.match_substring(self._themes, w), False).to_numpy(zero_copy_only=False)
+                              for w in words], 1).astype(np.float32)
+            want = np.zeros((len(words), b), np.float32)
+            where = {w: i for i, w in enumerate(words)}
+            for j, ts in enumerate(terms):
+                for t in ts or ():
+                    if t is not None:
+                        want[where[t.lower()], j] = 1
+            any_term = (found @ want) > 0
+            for j, ts in enumerate(terms):
+                if ts:
+                    ok[:, j] &= any_term[:, j]
+        return ok if filtered else None
+
+
+def _best_of_task(path: str, key: str, month: str | None, lists: bool):
+    """Arrow function: a task's rows -> at most ``_keep`` (id, distance) rows per request."""
+    block_rows, cells = BLOCK, CELLS  # as set when the plan is made
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        rows = _Rows(pa.Table.from_batches(held), key, month)
+        if not rows.n:
+            return
+        vectors = rows.table.column("_vector").combine_chunks()
+        for req in request_blocks(path, block_rows):
+            wanted = req.column("vector").to_pylist()
+            valid = np.array([v is not None and all(x is not None and math.isfinite(x) for x in v) for v in wanted], bool)
+            if not valid.any():
+                continue
+            req = req.filter(pa.array(valid))
+            queries = np.array(req.column("vector").to_pylist(), dtype=np.float64)
+            if queries.ndim != 2:
+                raise ValueError("request vectors are not all equally wide")
+            width = queries.shape[1]
+            b = len(queries)
+            keep = np.maximum(np.array(req.column("_keep").to_pylist(), np.int64), 0)
+            q_norms = np.square(queries).sum(axis=1)
+            allowed = rows.allowed(req, lists)
+            best_q = best_r = np.zeros(0, np.int64)
+            best_d = np.zeros(0)
+            worst = np.full(b, np.inf)
+            step = max(1, cells // b)
+            for start in range(0, rows.n, step):
+                part, usable = _matrix(vectors.slice(start, step), width)
+                near = np.square(part).sum(axis=1)[:, None] + q_norms[None, :] - 2.0 * (part @ queries.T)
+                mask = usable[:, None] if allowed is None else usable[:, None] & allowed[start : start + len(part)]
+                near[~np.broadcast_to(mask, near.shape)] = np.inf
+                slack = 1e-9 * (1.0 + np.square(part).sum(axis=1).max(initial=0.0) + q_norms)
+                k_eff = np.clip(keep, 1, len(part))
+                kth = np.partition(near, np.unique(k_eff - 1), axis=0)[k_eff - 1, np.arange(b)]
+                bound = np.minimum(worst, kth) + slack
+                r_idx, q_idx = np.nonzero((near <= bound[None, :]) & np.isfinite(near) & (keep > 0)[None, :])
+                exact = np.empty(len(r_idx))
+                for s0 in range(0, len(r_idx), PAIRS):
+                    sl = slice(s0, s0 + PAIRS)
+                    exact[sl] = np.square(part[r_idx[sl]] - queries[q_idx[sl]]).sum(axis=1)
+                all_q = np.concatenate([best_q, q_idx])
+                all_r = np.concatenate([best_r, r_idx + start])
+                all_d = np.concatenate([best_d, exact])
+                order = np.lexsort((rows.id_rank[all_r], all_d, all_q))
+                all_q, all_r, all_d = all_q[order], all_r[order], all_d[order]
+                first = np.concatenate([[True], all_q[1:] != all_q[:-1]]) if len(all_q) else np.zeros(0, bool)
+                place = np.arange(len(all_q)) - np.flatnonzero(first)[np.cumsum(first) - 1] if len(all_q) else all_q
+                kept = place < keep[all_q]
+                best_q, best_r, best_d = all_q[kept], all_r[kept], all_d[kept]
+                full = np.bincount(best_q, minlength=b) >= keep
+                last = np.full(b, np.inf)
+                if len(best_q):
+                    tail = np.concatenate([best_q[1:] != best_q[:-1], [True]])
+                    last[best_q[tail]] = best_d[tail]
+                worst = np.where(full, last, np.inf)
+            if not len(best_q):
+                continue
+            columns = [
+                pa.array(np.array(req.column("_number").to_pylist(), np.int64)[best_q], pa.int64()),
+                req.column("qid").combine_chunks().take(pa.array(best_q)),
+                pa.array(keep[best_q].astype(np.int32), pa.int32()),
+                pa.array(np.array(req.column("_limit").to_pylist(), np.int64)[best_q].astype(np.int32), pa.int32()),
+                pa.array(best_d, pa.float64()),
+                rows.table.column(key).combine_chunks().take(pa.array(best_r)),
+            ]
+            names = ["_number", "qid", "_keep", "_limit", "distance", key]
+            if month:
+                columns.append(rows.table.column(month).combine_chunks().take(pa.array(best_r)))
+                names.append("_month")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+def _date_bounds(path: str, spark: SparkSession) -> tuple[str | None, str | None]:
+    """The widest dates any request allows, for the scan; None where some request is open."""
+    r = spark.read.schema(REQUEST_TABLE).parquet(path).agg(
+        F.min("date_from").alias("lo"), F.max("date_to").alias("hi"),
+        F.count(F.lit(1)).alias("n"), F.count("date_from").alias("n_lo"), F.count("date_to").alias("n_hi"),
+        F.max("_keep").alias("most"),
+    ).first()
+    return (r.lo if r.n and r.n_lo == r.n else None, r.hi if r.n and r.n_hi == r.n else None, r.n, r.most or 0)
+
+
 def knn_batch(
     store: DataFrame,
     requests: DataFrame,
@@ -372,13 +446,16 @@ def knn_batch(
     ``prefilter`` applies all filters before ranking (exact).  ``overfetch``
     ranks twice the limit under the date filter only, then applies the country
     and theme filters and cuts to the limit; deeper matches are lost.
+
+    The requests are written to the shared folder and never pass the driver; the
+    table is scanned once for all of them: each task buffers its own rows (id,
+    vector, filter columns) and reads the requests block by block, keeping the best
+    rows of each request.  Only ids and distances leave the tasks; the winners are
+    joined back to the table (by month and id) for the other columns.  A request
+    whose vector is null or holds a number that is not finite has no rows.
     """
     plan = _Plan(store, mode, payload, key, vector)
-    asked = _with_request_columns(requests)
-    head = asked.limit(BLOCK + 1).collect()
-    # more than a block: stream them, one partition of requests at a time
-    rows: Iterable = head if len(head) <= BLOCK else asked.toLocalIterator()
-    return plan.answer(rows, len(head) <= BLOCK)
+    return plan.answer(store_requests(requests, 1 if plan.exact else 2))
 
 
 @dataclass
@@ -399,47 +476,60 @@ class _Plan:
         needed = [self.key] if self.exact else [self.key, "countries", "themes"]
         self.payload = [c for c in needed if c not in columns] + columns
 
-    def keep(self, request) -> int:
-        return int(request["limit"]) * (1 if self.exact else 2)
-
-    def answer(self, rows: Iterable, few: bool) -> DataFrame:
-        """Ranked rows of all requests; one pass stays lazy, more are stored."""
+    def answer(self, path: str) -> DataFrame:
+        """Ranked rows of all stored requests."""
         spark: SparkSession = self.store.sparkSession
-        blocks = _blocks(rows, self.keep, self.exact)
-        if few:
-            blocks = list(blocks)
-            if len(blocks) == 1:
-                return self.score(blocks[0])  # lazy
-        path = scratch_path(spark, "knn")
-        schema = None
-        for block in blocks:
-            part = self.score(block)
-            schema = part.schema
-            part.write.mode("append").parquet(path)
-        if schema is None:
-            names = ["qid", "distance", *self.payload, "rank"]
-            kinds = {"qid": T.StringType(), "distance": T.DoubleType(), "rank": T.IntegerType()}
-            fields = [
-                T.StructField(n, kinds[n]) if n in kinds else self.store.schema[n] for n in names
-            ]
-            return spark.createDataFrame([], T.StructType(fields))
-        return spark.read.schema(schema).parquet(path)
-
-    def score(self, block: _Block) -> DataFrame:
-        return _score_pass(self.store, block, self.payload, self.key, self.vector, not self.exact)
+        month = "year_month" if "year_month" in self.store.columns else None
+        lo, hi, n_requests, most = _date_bounds(path, spark)
+        rows = self.store.where(within_dates(lo, hi, month)) if (lo or hi) else self.store
+        filters = [c for c in ("date", "countries", "themes") if c in self.store.columns]
+        scanned = rows.select(self.key, *([month] if month else []), F.col(self.vector).alias("_vector"), *filters)
+        for c in ("date", "countries", "themes"):
+            if c not in filters:
+                scanned = scanned.withColumn(c, F.lit(None).cast("string" if c == "date" else "array<string>"))
+        schema = T.StructType(
+            [T.StructField("_number", T.LongType()), T.StructField("qid", T.StringType()),
+             T.StructField("_keep", T.IntegerType()), T.StructField("_limit", T.IntegerType()),
+             T.StructField("distance", T.DoubleType()), self.store.schema[self.key]]
+            + ([T.StructField("_month", T.StringType())] if month else [])
+        )
+        near = scanned.mapInArrow(_best_of_task(path, self.key, month, self.exact), schema)
+        # Many tasks may send rows for one request: rank in slices first, then all.
+        salted = W.partitionBy("_number", "_salt").orderBy("distance", self.key)
+        whole = W.partitionBy("_number").orderBy("distance", self.key)
+        ranked = (
+            near.withColumn("_salt", F.pmod(F.xxhash64(self.key), F.lit(SALTS)))
+            .withColumn("rank", F.row_number().over(salted))
+            .where(F.col("rank") <= F.lit(max(int(most), 1)))
+            .withColumn("rank", F.row_number().over(whole))
+            .where(F.col("rank") <= F.col("_keep"))
+            .drop("_salt", "_keep")
+        )
+        # late columns: joined by month and id; the winners are at most requests x their limits
+        by = [self.key] + (["_month"] if month else [])
+        extra = [c for c in self.payload if c != self.key]
+        side = self.store.select(self.key, *([F.col(month).alias("_month")] if month else []), *extra)
+        winners = F.broadcast(ranked) if n_requests * max(int(most), 1) <= BROADCAST_WINNERS else ranked
+        joined = winners.join(side, by).drop(*(["_month"] if month else []))
+        ordered = joined.select("_number", "qid", "distance", *self.payload, "rank", "_limit")
+        if self.exact:
+            return ordered.drop("_number", "_limit")
+        lists = spark.read.schema(REQUEST_TABLE).parquet(path).select(
+            "_number", F.col("countries").alias("_countries"), F.col("themes").alias("_themes"))
+        return _postfilter(ordered.join(F.broadcast(lists) if n_requests <= BROADCAST_WINNERS else lists, "_number"), self.key)
 
 
 def _postfilter(ranked: DataFrame, key: str) -> DataFrame:
     """Country and theme filters on ranked rows, then the cut to the limit."""
     joined = F.lower(F.array_join("themes", " "))
-    country_ok = (F.size("_countries") == 0) | F.arrays_overlap("countries", "_countries")
-    theme_ok = (F.size("_themes") == 0) | F.exists("_themes", lambda t: F.contains(joined, F.lower(t)))
+    country_ok = (F.coalesce(F.size("_countries"), F.lit(0)) <= 0) | F.arrays_overlap("countries", "_countries")
+    theme_ok = (F.coalesce(F.size("_themes"), F.lit(0)) <= 0) | F.exists("_themes", lambda t: F.contains(joined, F.lower(t)))
     place = W.partitionBy("_number").orderBy("distance", key)
     return (
         ranked.where(country_ok & theme_ok)
         .withColumn("rank", F.row_number().over(place))
         .where(F.col("rank") <= F.col("_limit"))
-        .drop("_number", *_LATER)
+        .drop("_number", "_limit", "_countries", "_themes")
     )
 
 
@@ -456,17 +546,14 @@ def knn_search(
     key: str = "gkg_record_id",
     vector: str = "vector",
 ) -> DataFrame:
-    """Nearest rows to one vector."""
-    request = {
-        "qid": "q",
-        "vector": [float(x) for x in query_vector],
-        "limit": limit,
-        "date_from": date_from,
-        "date_to": date_to,
-        "countries": list(countries or []),
-        "themes": list(themes or []),
-    }
-    return _Plan(store, mode, payload, key, vector).answer([request], True).drop("qid")
+    """Nearest rows to one vector: a request table of one row."""
+    spark = store.sparkSession
+    request = spark.createDataFrame(
+        [("q", [float(x) for x in query_vector], int(limit), date_from, date_to, list(countries or []), list(themes or []))],
+        "qid string, vector array<double>, limit int, date_from string, date_to string, countries array<string>, "
+        "themes array<string>",
+    )
+    return knn_batch(store, request, mode, payload, key, vector).drop("qid")
 
 
 def score(distance: Column) -> Column:
@@ -513,63 +600,48 @@ def search_text(
 def distance_profile(
     store: DataFrame, requests: DataFrame, vector: str = "vector"
 ) -> DataFrame:
-    """Every request against every row, folded per request while scoring:
+    """Every request against every row, folded per request (qid) while scoring:
     number of rows, least, greatest and mean squared distance.  Vectors that are
-    null or not finite take no part."""
-    requests = requests.where(finite(F.col("vector")))
-    width_rows = requests.select(F.col("qid").cast("string").alias("qid"), "vector")
-    head = width_rows.limit(BLOCK + 1).collect()
-    rows: Iterable = head if len(head) <= BLOCK else width_rows.toLocalIterator()
-    spark = store.sparkSession
+    null or not finite take no part.  One scan; each task reads the stored requests
+    block by block and sends one row per request."""
+    path = store_requests(requests.where(finite(F.col("vector"))))
     ddl = "qid string, n bigint, lo double, hi double, total double"
+    block_rows, cells = BLOCK, CELLS
 
-    def one(block: list) -> DataFrame:
-        qids = [r["qid"] for r in block]
-        queries = np.array([r["vector"] for r in block], dtype=np.float64)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        column = pa.Table.from_batches(held).column(0).combine_chunks()
+        for req in request_blocks(path, block_rows):
+            qids = req.column("qid").to_pylist()
+            queries = np.array(req.column("vector").to_pylist(), dtype=np.float64)
             n, lo, hi, total = 0, np.inf, -np.inf, 0.0
-            for whole in batches:
-                step = max(1, CELLS // max(1, len(qids)))
-                for start in range(0, whole.num_rows, step):
-                    data, usable = _matrix(whole.slice(start, step).column(0), queries.shape[1])
-                    data = data[usable]
-                    if not len(data):
-                        continue
-                    near = (
-                        np.square(data).sum(axis=1)[:, None]
-                        + np.square(queries).sum(axis=1)[None, :]
-                        - 2.0 * (data @ queries.T)
-                    )
-                    n += len(data)
-                    lo = np.minimum(lo, near.min(axis=0))
-                    hi = np.maximum(hi, near.max(axis=0))
-                    total = total + near.sum(axis=0)
+            step = max(1, cells // max(1, len(qids)))
+            for start in range(0, len(column), step):
+                data, usable = _matrix(column.slice(start, step), queries.shape[1])
+                data = data[usable]
+                if not len(data):
+                    continue
+                near = (
+                    np.square(data).sum(axis=1)[:, None]
+                    + np.square(queries).sum(axis=1)[None, :]
+                    - 2.0 * (data @ queries.T)
+                )
+                n += len(data)
+                lo = np.minimum(lo, near.min(axis=0))
+                hi = np.maximum(hi, near.max(axis=0))
+                total = total + near.sum(axis=0)
             if n:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(qids), pa.array([n] * len(qids)), *map(pa.array, (lo, hi, total))],
+                    [pa.array(qids, pa.string()), pa.array([n] * len(qids), pa.int64()), *map(pa.array, (lo, hi, total))],
                     names=["qid", "n", "lo", "hi", "total"],
                 )
 
-        return store.select(vector).mapInArrow(run, ddl)
-
-    def folded(parts: DataFrame) -> DataFrame:
-        return parts.groupBy("qid").agg(
-            F.sum("n").alias("n_candidates"),
-            F.min("lo").alias("min_distance"),
-            F.max("hi").alias("max_distance"),
-            (F.sum("total") / F.sum("n")).alias("avg_distance"),
-        )
-
-    if len(head) <= BLOCK:
-        return folded(one(head)) if head else folded(spark.createDataFrame([], ddl))
-    path = scratch_path(spark, "profile")
-    held: list = []
-    for r in rows:
-        held.append(r)
-        if len(held) == BLOCK:
-            folded(one(held)).write.mode("append").parquet(path)
-            held = []
-    if held:
-        folded(one(held)).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    parts = store.select(vector).mapInArrow(run, ddl)
+    return parts.groupBy("qid").agg(
+        F.sum("n").alias("n_candidates"),
+        F.min("lo").alias("min_distance"),
+        F.max("hi").alias("max_distance"),
+        (F.sum("total") / F.sum("n")).alias("avg_distance"),
+    )
