@@ -502,7 +502,7 @@ class _Plan:
             .withColumn("rank", F.row_number().over(salted))
             .where(F.col("rank") <= F.lit(max(int(most), 1)))
             .withColumn("rank", F.row_number().over(whole))
-            .where(F.col("rank") <= F.col("_keep"))
+            .where((F.col("rank") <= F.lit(max(int(most), 1))) & (F.col("rank") <= F.col("_keep")))
             .drop("_salt", "_keep")
         )
         # late columns: joined by month and id; the winners are at most requests x their limits
