@@ -286,8 +286,12 @@ def embed_incremental(records: DataFrame, table: VectorTable, embedder: Embedder
     line.
     """
     spark = records.sparkSession
+    # the records are evaluated once: everything below reads this copy
+    copy = scratch_path(spark, "intake")
+    records.write.parquet(copy)
+    records = spark.read.schema(records.schema).parquet(copy)
     path = scratch_path(spark, "stored-ids")
-    stored_among(records, table.read()).write.parquet(path)
+    stored_among(records, table).write.parquet(path)  # the table's id index: filters, then its buckets
     seen = spark.read.schema("gkg_record_id string").parquet(path)
     skipped = records.select("gkg_record_id").join(seen, "gkg_record_id", "left_semi").count()
     fresh = one_per_id(
@@ -301,6 +305,7 @@ def embed_incremental(records: DataFrame, table: VectorTable, embedder: Embedder
     written = Observation("embedded")
     table.append(rows.observe(written, F.count(F.lit(1)).alias("n")))
     remove_path(spark, path)
+    remove_path(spark, copy)
     return {"records_embedded": written.get["n"], "records_skipped": skipped}
 
 

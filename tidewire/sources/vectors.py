@@ -9,6 +9,7 @@ from ..operators.embed import last_per_id
 from ..operators.search import finite
 from ..schemas import DEFAULT_DIMENSIONS, VECTOR_COLUMNS, VECTOR_STORED
 from ..session import path_exists, remove_path, scratch_path
+from .id_index import IdIndex
 from .tables import partition_path
 
 TABLE_NAME = "gkg_embeddings"
@@ -79,23 +80,29 @@ def folder_month(date: Column) -> Column:
 # ---------------------------------------------------------------- ids
 
 
-def stored_among(ids: DataFrame, store: DataFrame, key: str = "gkg_record_id") -> DataFrame:
+def stored_among(ids: DataFrame, store, key: str = "gkg_record_id") -> DataFrame:
     """The distinct ids of ``ids`` that are stored.
 
-    The store is reduced by the asked ids, not the other way round: for a small
-    intake Spark broadcasts these (by its own size check) and never shuffles
-    the store; for a large one both sides shuffle ids only.
+    ``store`` is a :class:`VectorTable` or a DataFrame.  A table answers from its id
+    index (filters first, then only the buckets of ids that may be stored).  A
+    DataFrame is reduced by the asked ids, not the other way round: for a small
+    intake Spark broadcasts these (by its own size check) and never shuffles the
+    store; for a large one both sides shuffle ids only.
     """
+    if isinstance(store, VectorTable) and key == store.index.key:
+        return store.stored_among(ids)
+    if isinstance(store, VectorTable):
+        store = store.read()
     wanted = ids.select(key).distinct()
     return store.select(key).join(wanted, key, "left_semi").distinct()
 
 
-def existing_ids(ids: DataFrame, store: DataFrame, key: str = "gkg_record_id") -> DataFrame:
+def existing_ids(ids: DataFrame, store, key: str = "gkg_record_id") -> DataFrame:
     """Rows of ``ids`` whose id is stored; copies are kept."""
     return ids.join(stored_among(ids, store, key), key, "left_semi")
 
 
-def new_records(records: DataFrame, store: DataFrame, key: str = "gkg_record_id") -> DataFrame:
+def new_records(records: DataFrame, store, key: str = "gkg_record_id") -> DataFrame:
     """Rows whose id is not stored yet."""
     return records.join(stored_among(records, store, key), key, "left_anti")
 
@@ -131,6 +138,20 @@ class VectorTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.dimensions = dimensions
+        # a hidden folder: Spark's readers of the table do not list it
+        self.index = IdIndex(spark, f"{self.path}/_ids")
+
+    def stored_among(self, ids: DataFrame) -> DataFrame:
+        """Distinct ids of ``ids`` that the table holds (rejected rows aside), from the id index.
+
+        A table written before it had an index gets one first, from all its ids.
+        """
+        self._indexed()
+        return self.index.stored_among(ids)
+
+    def _indexed(self) -> None:
+        if not path_exists(self.spark, self.index.ids_path) and path_exists(self.spark, self.path):
+            self.index.add(self.read().select(self.index.key))
 
     def read(self) -> DataFrame:
         """All rows; the declared schema keeps ``year_month`` a string."""
@@ -161,7 +182,14 @@ class VectorTable:
         return shaped.withColumn("year_month", month)
 
     def append(self, rows: DataFrame) -> None:
-        self._checked(rows).write.mode("append").partitionBy("year_month").parquet(self.path)
+        """Add rows, and their ids to the index; the rows are evaluated once (staged in the shared folder)."""
+        self._indexed()
+        staged = scratch_path(self.spark, "append")
+        self._checked(rows).write.parquet(staged)
+        ready = self.spark.read.schema(VECTOR_STORED).parquet(staged)
+        ready.write.mode("append").partitionBy("year_month").parquet(self.path)
+        self.index.add(ready.where(F.col("year_month") != REJECTED))
+        remove_path(self.spark, staged)
 
     def add_records(self, embeddings: DataFrame, records: DataFrame, *order: str) -> None:
         rows = vec_row_shape(join_embed_records(embeddings, records, *order))
@@ -175,7 +203,10 @@ class VectorTable:
         written elsewhere first, since the table cannot be read and overwritten
         at once; a month left empty is removed as a folder.
         """
-        wanted = ids.select(key).distinct()
+        # the ids may be read from this very table: keep a copy before it changes
+        asked = scratch_path(self.spark, "delete-ids")
+        ids.select(key).distinct().write.parquet(asked)
+        wanted = self.spark.read.parquet(asked)
         hit = {
             r["year_month"]: r["n"]
             for r in self.read()
@@ -186,6 +217,7 @@ class VectorTable:
             .collect()  # one row per month
         }
         if not hit:
+            remove_path(self.spark, asked)
             return 0
         staged = scratch_path(self.spark, "delete")
         kept = self.read().where(F.col("year_month").isin(list(hit))).join(wanted, key, "left_anti")
@@ -198,4 +230,6 @@ class VectorTable:
         for month in set(hit) - left:
             remove_path(self.spark, partition_path(self.spark, self.path, year_month=month))
         remove_path(self.spark, staged)
+        self.index.remove(wanted)
+        remove_path(self.spark, asked)
         return sum(hit.values())

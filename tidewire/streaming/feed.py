@@ -107,7 +107,7 @@ def stream_embed(
     """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        fresh = one_per_id(new_records(batch, table.read()), *first_of_id())
+        fresh = one_per_id(new_records(batch, table), *first_of_id())
         month = fresh.withColumn("_month", folder_month(F.col("date_str"))).hint("rebalance", "_month")
         table.append(vec_row_shape(embed_records(month, embedder)))
 
