@@ -148,3 +148,25 @@ def test_dates():
     assert fr.date_range("backfill", NOW) == ("20240102", "20240201")
     assert fr.date_range("backfill", NOW, "20230101", None, 3) == ("20230101", "20240201")
     assert fr.date_range("embed_only", NOW, None, "2") == (None, "2")
+
+
+def test_stream_keeps_the_batch_record_in_any_arrival_order(spark, tmp_path):
+    """Two files hold the same ids; the earlier file's record counts, whichever arrives first."""
+    early = "\n".join(line(f"b{i}", "20240131", "EARLY") for i in range(6))
+    late = "\n".join(line(f"b{i}", "20240201", "LATE") for i in range(3, 9))
+    found = []
+    for order in (("20240201000000", late), ("20240131000000", early)), (("20240131000000", early), ("20240201000000", late)):
+        src = tmp_path / f"in{len(found)}"
+        src.mkdir()
+        out, mark = str(tmp_path / f"parsed{len(found)}"), str(tmp_path / f"mark{len(found)}")
+        table = VectorTable(spark, str(tmp_path / f"v{len(found)}"), 8)
+        for name, text in order:
+            (src / f"{name}.gkg.csv").write_text(text)
+            feed.stream_ingest(spark, str(src), out, mark).awaitTermination()
+            feed.stream_embed(spark, out, table, HASHING, str(tmp_path / f"m{len(found)}")).awaitTermination()
+        found.append(sorted((r.gkg_record_id, r.date, tuple(r.themes)) for r in table.read().collect()))
+    assert found[0] == found[1]
+    assert len(found[0]) == 9 and [r[1] for r in found[0]].count("20240131") == 6
+    batch = VectorTable(spark, str(tmp_path / "vb"), 8)
+    fr.embed_incremental(spark.read.schema(PARSED_STORED).parquet(str(tmp_path / "parsed0")), batch, HASHING)
+    assert sorted((r.gkg_record_id, r.date, tuple(r.themes)) for r in batch.read().collect()) == found[0]

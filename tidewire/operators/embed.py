@@ -134,5 +134,16 @@ def first_of_id() -> list[Column]:
     ]
 
 
+def rank_of() -> Column:
+    """The order of :func:`first_of_id` as one value that compares alike: the smaller comes first."""
+    return F.struct(
+        F.coalesce(F.col("date_partition"), F.lit("")).alias("day"),
+        F.coalesce(F.element_at(F.split("source_file", "/"), -1), F.lit("")).alias("name"),
+        F.coalesce(F.col("source_file"), F.lit("")).alias("file"),
+        F.coalesce(-F.col("line_number").cast("long"), F.lit(2**63 - 1)).alias("line"),
+        F.hash("document_id").alias("doc"),
+    )
+
+
 def last_per_id(records: DataFrame, *order: str, key: str = "gkg_record_id") -> DataFrame:
     return one_per_id(records, *[F.desc(c) for c in order], key=key)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..operators import manifest as mf
-from ..operators.embed import Embedder, embed_records, first_of_id, one_per_id
+from ..operators.embed import Embedder, embed_records, first_of_id, one_per_id, rank_of
 from ..operators.records import MAX_ERRORS, parse_records, parse_stats, project_parsed
 from ..schemas import RUN_STATS
 from ..session import path_exists, remove_path, scratch_path
@@ -303,7 +303,7 @@ def embed_incremental(records: DataFrame, table: VectorTable, embedder: Embedder
     month = fresh.withColumn("_month", folder_month(F.col("date_str"))).hint("rebalance", "_month")
     rows = vec_row_shape(embed_records(month, embedder))
     written = Observation("embedded")
-    table.append(rows.observe(written, F.count(F.lit(1)).alias("n")))
+    table.append(rows.observe(written, F.count(F.lit(1)).alias("n")), fresh.select("gkg_record_id", rank_of().alias("rank")))
     remove_path(spark, path)
     remove_path(spark, copy)
     return {"records_embedded": written.get["n"], "records_skipped": skipped}

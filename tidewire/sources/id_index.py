@@ -27,6 +27,8 @@ BITS = 1 << 20
 HASHES = 7
 # candidate ids broadcast for the pruned read at most; more are joined without pruning
 BROADCAST_IDS = 1_000_000
+# where records of one id are ranked, the rank of the stored one (see embed.rank_of); else null
+RANK = "struct<day:string,name:string,file:string,line:bigint,doc:int>"
 
 
 def bucket_of(key: Column, buckets: int = BUCKETS) -> Column:
@@ -57,8 +59,11 @@ class IdIndex:
             F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS INT))")).alias("bits"))
 
     def add(self, ids: DataFrame) -> None:
-        """Index the ids of ``ids`` (column ``key``); nulls are not indexed, copies once per call."""
-        rows = ids.select(self.key).where(F.col(self.key).isNotNull()).distinct()
+        """Index the ids of ``ids`` (column ``key``, and ``rank`` if there); nulls are not indexed,
+        copies once per call with their least rank."""
+        rank = F.col("rank").cast(RANK) if "rank" in ids.columns else F.lit(None).cast(RANK)
+        rows = ids.select(self.key, rank.alias("rank")).where(F.col(self.key).isNotNull()).groupBy(self.key).agg(
+            F.min("rank").alias("rank"))
         path = scratch_path(self.spark, "new-ids")
         rows.write.parquet(path)  # the caller's rows are evaluated once
         fresh = self.spark.read.parquet(path)
@@ -68,9 +73,10 @@ class IdIndex:
         remove_path(self.spark, path)
 
     def ids(self) -> DataFrame:
+        schema = f"{self.key} string, rank {RANK}, bucket int"
         if not path_exists(self.spark, self.ids_path):
-            return self.spark.createDataFrame([], f"{self.key} string, bucket int")
-        return self.spark.read.schema(f"{self.key} string, bucket int").parquet(self.ids_path)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.ids_path)
 
     def words(self) -> DataFrame:
         if not path_exists(self.spark, self.bloom_path):
@@ -90,14 +96,19 @@ class IdIndex:
         return hit.groupBy(self.key, "bucket").agg(F.count(F.lit(1)).alias("n")).where(
             F.col("n") == F.lit(self.hashes)).drop("n")
 
-    def stored_among(self, ids: DataFrame) -> DataFrame:
-        """The distinct ids of ``ids`` that are indexed, read from their buckets only."""
+    def ranks_among(self, ids: DataFrame) -> DataFrame:
+        """(key, rank) of the distinct ids of ``ids`` that are indexed, read from their buckets only."""
         maybe = self.maybe_stored(ids)
         n = maybe.count()
         if not n:
-            return self.spark.createDataFrame([], f"{self.key} string")
+            return self.spark.createDataFrame([], f"{self.key} string, rank {RANK}")
         side = F.broadcast(maybe) if n <= BROADCAST_IDS else maybe
-        return self.ids().join(side, ["bucket", self.key], "left_semi").select(self.key).distinct()
+        found = self.ids().join(side, ["bucket", self.key], "left_semi")
+        return found.groupBy(self.key).agg(F.min("rank").alias("rank"))
+
+    def stored_among(self, ids: DataFrame) -> DataFrame:
+        """The distinct ids of ``ids`` that are indexed, read from their buckets only."""
+        return self.ranks_among(ids).select(self.key)
 
     def remove(self, ids: DataFrame) -> None:
         """Take ids out of their bucket folders; their filter bits stay (more ids read, never a wrong answer)."""
@@ -109,7 +120,7 @@ class IdIndex:
         staged = scratch_path(self.spark, "ids")
         self.ids().where(F.col("bucket").isin(touched)).join(gone, ["bucket", self.key], "left_anti").write.partitionBy(
             "bucket").parquet(staged)
-        kept = self.spark.read.schema(f"{self.key} string, bucket int").parquet(staged)
+        kept = self.spark.read.schema(f"{self.key} string, rank {RANK}, bucket int").parquet(staged)
         left = {r.bucket for r in kept.select("bucket").distinct().collect()}
         kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.ids_path)
         for b in set(touched) - left:

@@ -181,16 +181,24 @@ class VectorTable:
         month = F.when(finite(F.col("vector")), folder_month(F.col("date"))).otherwise(REJECTED)
         return shaped.withColumn("year_month", month)
 
-    def append(self, rows: DataFrame) -> None:
-        """Add rows, and their ids to the index; the rows are evaluated once (staged in the shared folder)."""
+    def append(self, rows: DataFrame, ranks: DataFrame | None = None) -> None:
+        """Add rows, and their ids to the index with their ``ranks`` (key, rank) if given.
+
+        The rows are evaluated once (staged in the shared folder)."""
         self._indexed()
         staged = scratch_path(self.spark, "append")
         self._checked(rows).write.parquet(staged)
         ready = self.spark.read.schema(VECTOR_STORED).parquet(staged)
         ready.write.mode("append").partitionBy("year_month").parquet(self.path)
-        self.index.add(ready.where(F.col("year_month") != REJECTED))
+        ids = ready.where(F.col("year_month") != REJECTED).select(self.index.key)
+        self.index.add(ids if ranks is None else ids.join(ranks.select(self.index.key, "rank"), self.index.key, "left"))
         remove_path(self.spark, staged)
 
+    def ranks_among(self, ids: DataFrame) -> DataFrame:
+        """(id, rank) of the distinct ids of ``ids`` that the table holds; rank null where unknown."""
+        self._indexed()
+        return self.index.ranks_among(ids)
+
     def add_records(self, embeddings: DataFrame, records: DataFrame, *order: str) -> None:
         rows = vec_row_shape(join_embed_records(embeddings, records, *order))
         by_month = rows.withColumn("_month", folder_month(F.col("date"))).hint("rebalance", "_month")

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import urls
-from ..operators.embed import Embedder, embed_records, first_of_id, one_per_id
+from ..operators.embed import Embedder, embed_records, first_of_id, one_per_id, rank_of
 from ..operators.records import parse_records, project_parsed
 from ..schemas import PARSED_STORED
-from ..session import hadoop_path
+from ..session import hadoop_path, remove_path, scratch_path
 from ..sources.parsed import write_parsed
 from ..sources.vectors import VectorTable, folder_month, new_records, vec_row_shape
 
@@ -100,16 +100,31 @@ def stream_embed(
     checkpoint: str,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Embed newly parsed records once.
+    """Embed newly parsed records once, and keep for each id the record the batch run keeps.
 
-    A batch that is run again after a failure finds its ids stored and adds
+    Each id's rank (its record's place in :func:`first_of_id`) is stored in the id
+    index; a later record that ranks before the stored one replaces its row (merge
+    by id), so any order of arrival ends with the batch's rows.  A batch that is
+    run again after a failure finds its ids stored with equal rank and adds
     nothing, whatever its number.
     """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        fresh = one_per_id(new_records(batch, table), *first_of_id())
-        month = fresh.withColumn("_month", folder_month(F.col("date_str"))).hint("rebalance", "_month")
-        table.append(vec_row_shape(embed_records(month, embedder)))
+        # the best record of each id in the batch, against the rank stored with the id
+        best = one_per_id(batch, *first_of_id()).withColumn("_rank", rank_of())
+        stored = table.ranks_among(best).select("gkg_record_id", F.col("rank").alias("_stored"), F.lit(True).alias("_there"))
+        # new ids, and stored ones whose record ranks behind this one; a stored id of unknown rank stays
+        taken = best.join(stored, "gkg_record_id", "left").where(
+            F.col("_there").isNull() | F.coalesce(F.col("_rank") < F.col("_stored"), F.lit(False)))
+        path = scratch_path(spark, "stream-batch")
+        taken.write.parquet(path)  # the batch is evaluated once
+        chosen = spark.read.schema(taken.schema).parquet(path)
+        better = chosen.where(F.col("_there").isNotNull()).select("gkg_record_id")
+        if better.limit(1).count():
+            table.delete_by_ids(better)  # merge by id: a better-ranked record replaces the stored row
+        month = chosen.drop("_stored", "_there").withColumn("_month", folder_month(F.col("date_str"))).hint("rebalance", "_month")
+        table.append(vec_row_shape(embed_records(month, embedder)), chosen.select("gkg_record_id", F.col("_rank").alias("rank")))
+        remove_path(spark, path)
 
     reader = spark.readStream.schema(PARSED_STORED).format("parquet")
     if max_files:
