@@ -260,6 +260,14 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(VECTOR_STORED).parquet(path)
 
 
+def vectors_table(spark: SparkSession, sf: str):
+    """The vector table of :func:`vectors` as a table, with its stored codes."""
+    from tidewire.sources.vectors import VectorTable
+
+    vectors(spark, sf)
+    return VectorTable(spark, _WRITTEN[(spark.sparkContext.applicationId, sf, "vectors")], VECTOR_WIDTH)
+
+
 def requests(spark: SparkSession, sf: str) -> DataFrame:
     return _spark(spark, sf, REQUESTS, "benchmark").withColumnRenamed("limit_n", "limit")
 

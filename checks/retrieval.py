@@ -57,7 +57,8 @@ def adv_sq8(spark, sf):
   FROM (SELECT gkg_record_id, power(list_distance(CAST(vector AS DOUBLE[]), qv), 2) AS d FROM near) AS x
   QUALIFY rank <= 5""")
 def adv_funnel(spark, sf):
-    found = rt.funnel_search(inputs.vectors(spark, sf), inputs.center(spark, sf))
+    table = inputs.vectors_table(spark, sf)
+    found = rt.funnel_search(table.read(), inputs.center(spark, sf), codes=table.codes())
     return found.select("gkg_record_id", "rank", dist())
 
 

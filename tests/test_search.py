@@ -216,3 +216,17 @@ def test_one_scan_for_many_requests_and_filters(spark, table):
 
     for qid, v, k, lo, _, cc, th in data:
         assert got.get(qid, []) == brute(v, k, keep(lo, cc, th)), qid
+
+
+def test_funnel_first_stage_reads_stored_codes_only(spark, table):
+    from tidewire.operators import retrieval
+
+    q = np.random.default_rng(11).normal(size=DIM).tolist()
+    coded = retrieval.funnel_search(table.read(), q, shortlist=60, limit=5, codes=table.codes(), date_from="20240301")
+    plan = spark._jvm.PythonSQLUtils.explainString(coded._jdf.queryExecution(), "formatted")
+    schemas = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert any("bits:" in line and "vector:" not in line for line in schemas), schemas
+    assert sum("vector:" in line for line in schemas) == 1
+    plain = retrieval.funnel_search(table.read(), q, shortlist=60, limit=5, date_from="20240301")
+    assert found(coded) == found(plain)
+    assert table.codes().count() == table.read().count()

@@ -141,6 +141,7 @@ def funnel_search(
     bits: str | None = None,
     key: str = "gkg_record_id",
     vector: str = "vector",
+    codes: DataFrame | None = None,
     **knn_args,
 ) -> DataFrame:
     """Shortlist by differing signs, then exact order among the shortlist.
@@ -149,9 +150,26 @@ def funnel_search(
     filter does), so that they never leave fewer rows than there are.
 
     ``bits`` names a stored column of ``sign_bits``; with it the first stage
-    reads 8 bytes per 64 dimensions instead of 256.
+    reads 8 bytes per 64 dimensions instead of 256.  ``codes`` is a table of
+    stored codes (``VectorTable.codes``: id, date, countries, themes, bits, month):
+    the first stage then reads it alone, and only the shortlist (at most
+    ``shortlist`` rows, broadcast) is looked up in ``store`` by month and id.
     """
     query = [float(x) for x in query_vector]
+    if codes is not None:
+        month = "year_month"
+        first = codes.where(within_dates(knn_args.get("date_from"), knn_args.get("date_to"), month))
+        if knn_args.get("mode", "prefilter") == "prefilter":
+            first = first.where(in_countries(knn_args.get("countries")) & has_themes(knn_args.get("themes")))
+        listed = (
+            first.where(F.col("bits").isNotNull())
+            .withColumn("_bits", hamming(F.col("bits"), _pack(query)))
+            .orderBy("_bits", key)
+            .limit(shortlist)
+            .select(key, month)
+        )
+        near = store.join(F.broadcast(listed), [key, month], "left_semi")
+        return knn_search(near, query, limit, key=key, vector=vector, **knn_args)
     month = "year_month" if "year_month" in store.columns else None
     store = store.where(within_dates(knn_args.get("date_from"), knn_args.get("date_to"), month))
     if knn_args.get("mode", "prefilter") == "prefilter":

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.embed import last_per_id
+from ..operators.retrieval import sign_bits
 from ..operators.search import finite
 from ..schemas import DEFAULT_DIMENSIONS, VECTOR_COLUMNS, VECTOR_STORED
 from ..session import path_exists, remove_path, scratch_path
@@ -131,6 +132,10 @@ def vec_stats(store: DataFrame, location: str = "", table_name: str = TABLE_NAME
 # ---------------------------------------------------------------- table
 
 
+CODES = ("gkg_record_id string, date string, countries array<string>, themes array<string>, bits array<bigint>, "
+         "year_month string")
+
+
 class VectorTable:
     """Create, append, read and delete at a path."""
 
@@ -186,14 +191,38 @@ class VectorTable:
 
         The rows are evaluated once (staged in the shared folder)."""
         self._indexed()
+        self._coded()
         staged = scratch_path(self.spark, "append")
         self._checked(rows).write.parquet(staged)
         ready = self.spark.read.schema(VECTOR_STORED).parquet(staged)
         ready.write.mode("append").partitionBy("year_month").parquet(self.path)
+        self._write_codes(ready.where(F.col("year_month") != REJECTED))
         ids = ready.where(F.col("year_month") != REJECTED).select(self.index.key)
         self.index.add(ids if ranks is None else ids.join(ranks.select(self.index.key, "rank"), self.index.key, "left"))
         remove_path(self.spark, staged)
 
+    @property
+    def codes_path(self) -> str:
+        return f"{self.path}/_codes"
+
+    def codes(self) -> DataFrame:
+        """Stored sign codes of all usable rows: id, date, countries, themes, ``bits`` (``sign_bits``)
+        and month, without the vector: what a first stage reads.  A table written before it had codes
+        gets them first."""
+        self._coded()
+        if not path_exists(self.spark, self.codes_path):
+            return self.spark.createDataFrame([], CODES)
+        return self.spark.read.schema(CODES).parquet(self.codes_path)
+
+    def _coded(self) -> None:
+        if not path_exists(self.spark, self.codes_path) and path_exists(self.spark, self.path):
+            self._write_codes(self.read())
+
+    def _write_codes(self, rows: DataFrame) -> None:
+        usable = rows.where(finite(F.col("vector")))
+        usable.select("gkg_record_id", "date", "countries", "themes", sign_bits(F.col("vector"), self.dimensions).alias("bits"),
+                      "year_month").write.mode("append").partitionBy("year_month").parquet(self.codes_path)
+
     def ranks_among(self, ids: DataFrame) -> DataFrame:
         """(id, rank) of the distinct ids of ``ids`` that the table holds; rank null where unknown."""
         self._indexed()
@@ -238,6 +267,17 @@ class VectorTable:
         for month in set(hit) - left:
             remove_path(self.spark, partition_path(self.spark, self.path, year_month=month))
         remove_path(self.spark, staged)
+        if path_exists(self.spark, self.codes_path):
+            codes_staged = scratch_path(self.spark, "delete-codes")
+            self.codes().where(F.col("year_month").isin(list(hit))).join(wanted, key, "left_anti").write.partitionBy(
+                "year_month").parquet(codes_staged)
+            codes_left = self.spark.read.schema(CODES).parquet(codes_staged)
+            still = {r["year_month"] for r in codes_left.select("year_month").distinct().collect()}
+            codes_left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "year_month").parquet(self.codes_path)
+            for month in set(hit) - still:
+                remove_path(self.spark, partition_path(self.spark, self.codes_path, year_month=month))
+            remove_path(self.spark, codes_staged)
         self.index.remove(wanted)
         remove_path(self.spark, asked)
         return sum(hit.values())
