@@ -230,3 +230,32 @@ def test_funnel_first_stage_reads_stored_codes_only(spark, table):
     plain = retrieval.funnel_search(table.read(), q, shortlist=60, limit=5, date_from="20240301")
     assert found(coded) == found(plain)
     assert table.codes().count() == table.read().count()
+
+
+def test_delete_writes_no_vector_and_compaction_applies_it(spark):
+    import glob
+    import os
+
+    t = vt.VectorTable(spark, scratch_path(spark, "vectors"), DIM)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vt.VECTOR_COLUMNS)
+    t.append(spark.createDataFrame(rows(120), ddl))
+
+    def vector_files():
+        return sorted(f for f in glob.glob(f"{t.path}/year_month=*/*.parquet"))
+
+    before = vector_files()
+    month = [r[0] for r in rows(120) if r[1].startswith("202405")]
+    gone = spark.createDataFrame([(i,) for i in month + ["r0003"]], "gkg_record_id string")
+    assert t.delete_by_ids(gone) == len(month) + 1
+    assert vector_files() == before
+    expected = sorted(r[0] for r in rows(120) if r[0] not in set(month) | {"r0003"})
+    assert sorted(r[0] for r in t.scan("gkg_record_id").collect()) == expected
+    assert t.codes().count() == len(expected)
+    assert t.compact() == len(month) + 1
+    assert not os.path.exists(f"{t.path}/year_month=202405") and not os.path.exists(t.deleted_path)
+    assert sorted(r[0] for r in t.scan("gkg_record_id").collect()) == expected
+    assert t.codes().count() == len(expected)
+    # a deleted id may come back
+    t.delete_by_ids(spark.createDataFrame([("r0004",)], "gkg_record_id string"))
+    t.append(spark.createDataFrame([r for r in rows(120) if r[0] == "r0004"], ddl))
+    assert sorted(r[0] for r in t.scan("gkg_record_id").where("gkg_record_id = 'r0004'").collect()) == ["r0004"]

@@ -163,7 +163,7 @@ class VectorTable:
         if not path_exists(self.spark, self.path):
             return self.spark.createDataFrame([], VECTOR_STORED)
         stored = self.spark.read.schema(VECTOR_STORED).parquet(self.path)
-        return stored.where(F.col("year_month") != REJECTED)
+        return self._without_deleted(stored.where(F.col("year_month") != REJECTED))
 
     def scan(self, *columns: str) -> DataFrame:
         return self.read().select(*columns)
@@ -195,6 +195,10 @@ class VectorTable:
         staged = scratch_path(self.spark, "append")
         self._checked(rows).write.parquet(staged)
         ready = self.spark.read.schema(VECTOR_STORED).parquet(staged)
+        if path_exists(self.spark, self.deleted_path):
+            log = self.spark.read.schema("gkg_record_id string").parquet(self.deleted_path)
+            if ready.select("gkg_record_id").join(log, "gkg_record_id", "left_semi").limit(1).count():
+                self.compact()  # an id deleted before comes back: the old row must go for good first
         ready.write.mode("append").partitionBy("year_month").parquet(self.path)
         self._write_codes(ready.where(F.col("year_month") != REJECTED))
         ids = ready.where(F.col("year_month") != REJECTED).select(self.index.key)
@@ -212,7 +216,7 @@ class VectorTable:
         self._coded()
         if not path_exists(self.spark, self.codes_path):
             return self.spark.createDataFrame([], CODES)
-        return self.spark.read.schema(CODES).parquet(self.codes_path)
+        return self._without_deleted(self.spark.read.schema(CODES).parquet(self.codes_path))
 
     def _coded(self) -> None:
         if not path_exists(self.spark, self.codes_path) and path_exists(self.spark, self.path):
@@ -233,51 +237,68 @@ class VectorTable:
         by_month = rows.withColumn("_month", folder_month(F.col("date"))).hint("rebalance", "_month")
         self.append(by_month)
 
+    @property
+    def deleted_path(self) -> str:
+        return f"{self.path}/_deleted"
+
+    def _without_deleted(self, rows: DataFrame) -> DataFrame:
+        """Rows whose id is not in the log of deletions; the log is small, so Spark broadcasts it by its size."""
+        if not path_exists(self.spark, self.deleted_path):
+            return rows
+        log = self.spark.read.schema("gkg_record_id string").parquet(self.deleted_path)
+        return rows.join(log, "gkg_record_id", "left_anti")
+
     def delete_by_ids(self, ids: DataFrame, key: str = "gkg_record_id") -> int:
         """Remove rows by id and return how many there were.
 
-        Only months that hold such a row are rewritten.  The rows to keep are
-        written elsewhere first, since the table cannot be read and overwritten
-        at once; a month left empty is removed as a folder.
+        No vector is written: the ids that are there go to a log that readers
+        subtract (and out of the id index); :meth:`compact` applies the log.
         """
         # the ids may be read from this very table: keep a copy before it changes
         asked = scratch_path(self.spark, "delete-ids")
         ids.select(key).distinct().write.parquet(asked)
         wanted = self.spark.read.parquet(asked)
+        there = self.read().select(key).join(wanted, key, "left_semi")
+        found = scratch_path(self.spark, "deleted")
+        there.groupBy(key).agg(F.count(F.lit(1)).alias("n")).write.parquet(found)
+        hits = self.spark.read.parquet(found)
+        n = hits.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        if n:
+            hits.select(key).write.mode("append").parquet(self.deleted_path)
+            self.index.remove(hits.select(key))
+        remove_path(self.spark, found)
+        remove_path(self.spark, asked)
+        return int(n)
+
+    def compact(self, key: str = "gkg_record_id") -> int:
+        """Apply the log of deletions: rewrite only the months (of rows and codes) that hold a deleted id,
+        remove months left empty, then the log.  Returns the number of rows removed."""
+        if not path_exists(self.spark, self.deleted_path):
+            return 0
+        wanted = self.spark.read.schema(f"{key} string").parquet(self.deleted_path).distinct()
+        stored = self.spark.read.schema(VECTOR_STORED).parquet(self.path).where(F.col("year_month") != REJECTED)
         hit = {
             r["year_month"]: r["n"]
-            for r in self.read()
-            .select(key, "year_month")
+            for r in stored.select(key, "year_month")
             .join(wanted, key, "left_semi")
             .groupBy("year_month")
             .agg(F.count(F.lit(1)).alias("n"))
             .collect()  # one row per month
         }
-        if not hit:
-            remove_path(self.spark, asked)
-            return 0
-        staged = scratch_path(self.spark, "delete")
-        kept = self.read().where(F.col("year_month").isin(list(hit))).join(wanted, key, "left_anti")
-        kept.write.partitionBy("year_month").parquet(staged)
-        rest = self.spark.read.schema(VECTOR_STORED).parquet(staged)
-        left = {r["year_month"] for r in rest.select("year_month").distinct().collect()}
-        rest.select(*VECTOR_NAMES, "year_month").write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("year_month").parquet(self.path)
-        for month in set(hit) - left:
-            remove_path(self.spark, partition_path(self.spark, self.path, year_month=month))
-        remove_path(self.spark, staged)
-        if path_exists(self.spark, self.codes_path):
-            codes_staged = scratch_path(self.spark, "delete-codes")
-            self.codes().where(F.col("year_month").isin(list(hit))).join(wanted, key, "left_anti").write.partitionBy(
-                "year_month").parquet(codes_staged)
-            codes_left = self.spark.read.schema(CODES).parquet(codes_staged)
-            still = {r["year_month"] for r in codes_left.select("year_month").distinct().collect()}
-            codes_left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "year_month").parquet(self.codes_path)
-            for month in set(hit) - still:
-                remove_path(self.spark, partition_path(self.spark, self.codes_path, year_month=month))
-            remove_path(self.spark, codes_staged)
-        self.index.remove(wanted)
-        remove_path(self.spark, asked)
+        for path, schema in ((self.path, VECTOR_STORED), (self.codes_path, CODES)):
+            if not hit or not path_exists(self.spark, path):
+                continue
+            staged = scratch_path(self.spark, "compact")
+            rows = self.spark.read.schema(schema).parquet(path)
+            rows.where(F.col("year_month").isin(list(hit))).join(wanted, key, "left_anti").write.partitionBy(
+                "year_month").parquet(staged)
+            rest = self.spark.read.schema(schema).parquet(staged)
+            left = {r["year_month"] for r in rest.select("year_month").distinct().collect()}
+            columns = [f.name for f in rest.schema.fields]
+            rest.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "year_month").parquet(path)
+            for month in set(hit) - left:
+                remove_path(self.spark, partition_path(self.spark, path, year_month=month))
+            remove_path(self.spark, staged)
+        remove_path(self.spark, self.deleted_path)
         return sum(hit.values())
