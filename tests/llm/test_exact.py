@@ -48,3 +48,22 @@ def test_rows_that_stay(spark):
     assert left.columns == docs.columns
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(r[0]) for r in brute(rows) if r[3])
     assert exact.keep_first(table(spark, [])).collect() == [] and exact.group_copies(table(spark, [])).collect() == []
+
+
+def test_stages_keep_caller_columns_named_like_their_helpers(spark):
+    """Columns named like the helper columns of keep_first and keep_one come back untouched."""
+    from pyspark.sql import functions as F
+
+    from tidewire.llm import exact, jaccard
+
+    from .common import edge_rows, table
+
+    base = table(spark, edge_rows())
+    clashing = ["__key", "__digest", "__mark", "__gone_key", "__gone_digest", "__gone_mark"]
+    odd = base.withColumns({c: F.lit(f"mine-{c}") for c in clashing})
+    for keep in (exact.keep_first, jaccard.keep_one):
+        plain = sorted(((r.doc_id is None, r.doc_id or 0), r.text or "") for r in keep(base).collect())
+        got = keep(odd).collect()
+        assert sorted(((r.doc_id is None, r.doc_id or 0), r.text or "") for r in got) == plain
+        assert all(r[c] == f"mine-{c}" for r in got for c in clashing)
+        assert keep(odd).columns == odd.columns

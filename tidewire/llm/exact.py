@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .steps import broadcast_if_small
+from .steps import broadcast_if_small, free_name
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -138,14 +138,17 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     _verified(docs, id_col, text_col, sha256, bytes_per_trigger).write.parquet(path)
     rows = spark.read.parquet(path)
     is_first = F.col("key").eqNullSafe(F.col("first"))
-    gone = rows.filter(~is_first).select(F.col("key").alias("__gone_key"), F.col("digest").alias("__gone_digest")).distinct()
     names = docs.columns
+    # helper columns take names the caller's columns leave free
+    digest_name, key_name = free_name(names, "__digest"), free_name(names, "__key")
+    gone_key, gone_digest = free_name(names, "__gone_key"), free_name(names, "__gone_digest")
+    gone = rows.filter(~is_first).select(F.col("key").alias(gone_key), F.col("digest").alias(gone_digest)).distinct()
     marked = docs.withColumns({
-        "__digest": sha256(normalised(F.col(text_col))), "__key": F.col(id_col),
+        digest_name: sha256(normalised(F.col(text_col))), key_name: F.col(id_col),
     })
-    here = F.col("__digest").eqNullSafe(F.col("__gone_digest")) & F.col("__key").eqNullSafe(F.col("__gone_key"))
+    here = F.col(digest_name).eqNullSafe(gone[gone_digest]) & F.col(key_name).eqNullSafe(gone[gone_key])
     left = marked.join(broadcast_if_small(gone, BROADCAST_KEYS), here, "left_anti")
     again = rows.filter(is_first).groupBy("digest", "key").count().filter("count > 1")
     if not again.isEmpty():  # repeated rows of the smallest id: one of them
-        left = left.dropDuplicates(["__key", "__digest"])
-    return left.select(*names)
+        left = left.dropDuplicates([key_name, digest_name])
+    return left.select(*[marked[n] for n in names])

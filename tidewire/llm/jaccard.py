@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from ..session import remove_path
 from . import arrays as A
 from .components import components
-from .steps import broadcast_if_small, step, store
+from .steps import broadcast_if_small, free_name, step, store
 
 # Bits of an n-gram's hash that name its cell in the table of frequencies (4 MB on every worker).
 CELL_BITS = 22
@@ -271,12 +271,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     best = placed.groupBy("root").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("rows"))
     crowded = placed.join(best.filter("rows > 1"), "root").withColumn("stays", rank == F.col("best"))
     crowded = store(crowded.select("key", "mark", "stays"), "crowded")
-    gone = crowded.filter("not stays").select(F.col("key").alias("__gone_key"), F.col("mark").alias("__gone_mark")).distinct()
-    marked = docs.withColumns({"__mark": F.xxhash64(text_col), "__key": F.col(id_col)})
-    here = F.col("__mark").eqNullSafe(F.col("__gone_mark")) & F.col("__key").eqNullSafe(F.col("__gone_key"))
+    names = docs.columns
+    # helper columns take names the caller's columns leave free
+    mark_name, key_name = free_name(names, "__mark"), free_name(names, "__key")
+    gone_key, gone_mark = free_name(names, "__gone_key"), free_name(names, "__gone_mark")
+    gone = crowded.filter("not stays").select(F.col("key").alias(gone_key), F.col("mark").alias(gone_mark)).distinct()
+    marked = docs.withColumns({mark_name: F.xxhash64(text_col), key_name: F.col(id_col)})
+    here = F.col(mark_name).eqNullSafe(gone[gone_mark]) & F.col(key_name).eqNullSafe(gone[gone_key])
     left = marked.join(broadcast_if_small(gone, BROADCAST_NODES), here, "left_anti")
     if not crowded.filter("stays").groupBy("key", "mark").count().filter("count > 1").isEmpty():
         # repeated rows: one of them; texts without words are not touched
         wordless = F.coalesce(F.col(text_col), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
-        left = left.filter(~wordless).dropDuplicates(["__key", "__mark"]).union(left.filter(wordless))
-    return left.select(*docs.columns)
+        left = left.filter(~wordless).dropDuplicates([key_name, mark_name]).union(left.filter(wordless))
+    return left.select(*names)

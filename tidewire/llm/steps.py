@@ -35,3 +35,10 @@ def step(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Ask for a broadcast after counting; a larger table is left to a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def free_name(names: list[str], wanted: str) -> str:
+    """``wanted``, lengthened by underscores until no column of ``names`` has it."""
+    while wanted in names:
+        wanted += "_"
+    return wanted
