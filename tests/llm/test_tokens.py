@@ -202,3 +202,21 @@ def test_packing_query_is_close_to_the_bound(spark, small):
     rows = QUERIES["op7_best_fit_packing"](spark, small).collect()
     total = sum(r.length for r in rows)
     assert len({r.sequence_id for r in rows}) <= 1.01 * -(-total // 2048) + 1
+
+
+@pytest.mark.parametrize("rule", ["most", "first"])
+def test_sections_out_of_order_overlapping_and_beyond_the_text(spark, library, rule):
+    texts = ["hello world", "abc def", "Unbelievable 漢字 internationalisation", ""]
+    lists = [[(0, 500)], [(4, 7), (0, 3)], [(20, 40), (0, 25), (10, 12), (13, 13), (-5, 3)], [(0, 9)]]
+    rows = [(k, t, x) for k, (t, x) in enumerate(zip(texts, lists))] + [(9, "next one", [(0, 9)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, parts array<struct<start:int,end:int>>")
+    expected = []
+    for k, t, x in rows:
+        clipped = [(min(max(a, 0), len(t)), min(max(b, 0), len(t))) for a, b in x]
+        # a section empty after the cut meets nothing
+        got = counted(library, t, [c if c[1] > c[0] else (len(t) + 1, len(t) + 1) for c in clipped], rule)
+        expected += [(k, j, a, b, n) for j, ((a, b), (n, _)) in enumerate(zip(x, got))]
+    found = attribution.attribute(docs, TOKENIZER, sections_col="parts", rule=rule).select(
+        "doc_id", "section", "start", "end", "n_tokens").collect()
+    same(found, expected)
+    assert [r.n_tokens for r in found if r.doc_id == 0] == [len(library.encode("hello world", add_special_tokens=False).ids)]

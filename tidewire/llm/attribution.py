@@ -33,13 +33,50 @@ def _owner(starts: np.ndarray, ends: np.ndarray, lo: np.ndarray, hi: np.ndarray,
     return owner, crossing
 
 
+def _given(starts, ends, lo, hi, row_lo, row_hi, rule: str) -> tuple[np.ndarray, np.ndarray]:
+    """(n_tokens, n_crossing) of sections as the caller gives them: in any order, overlapping or
+    not, reaching beyond the text or not.  Each is cut to its own row's text first, so it never
+    meets another row's tokens; tokens are non-decreasing spans, so two searches give the tokens
+    that overlap a section, and each token goes to the section with most of its characters (the
+    smaller number at equal shares) or, by ``first``, to the smallest number it meets.  Sections
+    that are empty after the cut take part nowhere."""
+    n = len(lo)
+    tokens, crossing = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    clo = np.clip(lo, row_lo, row_hi)
+    chi = np.maximum(np.clip(hi, row_lo, row_hi), clo)
+    full = np.flatnonzero(chi > clo)
+    if not len(full):
+        return tokens, crossing
+    a = np.searchsorted(ends, clo[full], "right")  # first token that ends behind the section's start
+    b = np.searchsorted(starts, chi[full], "left")  # first token that starts at or behind its end
+    many = np.maximum(b - a, 0)
+    total = int(many.sum())
+    if not total:
+        return tokens, crossing
+    sec = np.repeat(full, many)
+    tok = np.repeat(a - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(total)
+    if rule == MOST:
+        share = np.minimum(chi[sec], ends[tok]) - np.maximum(clo[sec], starts[tok])
+        order = np.lexsort((sec, -share, tok))
+    else:
+        order = np.lexsort((sec, tok))
+    sec, tok = sec[order], tok[order]
+    first = np.concatenate([[True], tok[1:] != tok[:-1]])
+    sec, tok = sec[first], tok[first]
+    inside = (lo[sec] <= starts[tok]) & (hi[sec] >= ends[tok])
+    tokens += np.bincount(sec, minlength=n)
+    crossing += np.bincount(sec[~inside], minlength=n)
+    return tokens, crossing
+
+
 def attribute(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
               sections_col: str | None = None, rule: str = MOST) -> DataFrame:
     """One row per section: id, section (from 0), start, end, n_tokens, n_crossing.
 
-    ``sections_col`` holds an array of (start, end) in code points, ascending and
-    disjoint; without it the sections are the lines of the text, each with its
-    line feed.  A token is a span of code points (all those it has bytes of).  It
+    ``sections_col`` holds an array of (start, end) in code points, in any order,
+    overlapping or not (a null border counts as 0); each section is cut to its own
+    text, so one reaching beyond it counts that text's tokens only.  Without it the
+    sections are the lines of the text, each with its line feed.  A token is a span of code points (all those it has bytes of).  It
     counts for the one section it meets; if it meets several it goes to the one
     that holds most of its characters, the earlier at equal shares (``most``),
     or to the first it meets (``first``).  A token outside all sections counts
@@ -90,7 +127,9 @@ def attribute(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
                       for k in (0, 1))
         n = len(rows)
         tokens, crossing = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        if n and len(ids):
+        if sections_col is not None and n and len(ids):
+            tokens, crossing = _given(starts, ends, lo, hi, base[rows], base[rows + 1], rule)
+        elif n and len(ids):
             # rows lie one after another, so one search serves them all; empty sections take part nowhere
             full = np.flatnonzero(hi > lo)
             if len(full):
