@@ -1,5 +1,7 @@
 """Repetition coverage and URL rules."""
 
+import pytest
+
 import collections
 import random
 
@@ -76,3 +78,15 @@ def test_rules_by_trie_and_by_join(spark):
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     same(url_rules.judge(pages, rules).collect(), expected)
     same(url_rules.judge(pages, rules, trie_rules=2).collect(), expected)
+
+
+def test_both_paths_refuse_odd_verdicts_and_count_lists(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/es/a"), (2, "http://example.com/en/")], "page_id long, url string")
+    odd = RULES + [("org", "/", "review")]
+    for limit in (100, 2):
+        with pytest.raises(Exception, match="neither allow nor block"):
+            url_rules.judge(pages, odd, trie_rules=limit).collect()
+        with pytest.raises(Exception, match="neither allow nor block"):
+            url_rules.judge(pages, spark.createDataFrame(odd, "host string, path string, verdict string"), trie_rules=limit).collect()
+    # a list longer than the trie's limit takes the join, with the same answer
+    same(url_rules.judge(pages, RULES, trie_rules=2).collect(), url_rules.judge(pages, RULES).collect())

@@ -82,16 +82,25 @@ def judge(pages: DataFrame, rules: Iterable[Rule] | DataFrame, id_col: str = "pa
     """One row per row of ``pages``: id, host, path, rule (null if none fits), verdict.
 
     ``rules`` is a list or a table (host, path, verdict).  Up to ``trie_rules``
-    of them are broadcast as a trie; beyond that the same answer comes from a
-    join.  A rule fits its host and all subdomains if the URL's path starts with
+    of them are broadcast as a trie; beyond that (counted for lists and tables)
+    the same answer comes from a join.  A verdict other than allow or block is
+    refused on both paths.  A rule fits its host and all subdomains if the URL's path starts with
     the rule's; the longest host wins, then the longest path; block wins between
     equal rules.  A null URL, or one without ``://``, has an empty host and
     path and meets no rule unless one is empty too; ids may be null or repeated;
     empty tables give empty results; other columns are not read.
     """
+    if not isinstance(rules, DataFrame):
+        rules = list(rules)
+        if len(rules) > trie_rules:  # a long list is not broadcast either
+            rules = pages.sparkSession.createDataFrame(rules, "host string, path string, verdict string")
     if isinstance(rules, DataFrame):
         table = rules.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("host", "path", "verdict")])
         if table.limit(trie_rules + 1).count() > trie_rules:
+            # the same verdicts are refused on both paths
+            odd = table.where(~F.col("verdict").isin(ALLOW, BLOCK)).select("verdict").limit(1).collect()
+            if odd:
+                raise ValueError(f"verdict {odd[0].verdict!r} of a rule is neither allow nor block")
             return _by_join(pages, table, id_col, url_col, otherwise)
         rules = [tuple(r) for r in table.collect()]
     trie = pages.sparkSession.sparkContext.broadcast(Trie(rules))
