@@ -259,3 +259,26 @@ def test_delete_writes_no_vector_and_compaction_applies_it(spark):
     t.delete_by_ids(spark.createDataFrame([("r0004",)], "gkg_record_id string"))
     t.append(spark.createDataFrame([r for r in rows(120) if r[0] == "r0004"], ddl))
     assert sorted(r[0] for r in t.scan("gkg_record_id").where("gkg_record_id = 'r0004'").collect()) == ["r0004"]
+
+
+def flaky_model():
+    """A model that refuses calls of more than 7 texts and fails its first two calls in each worker."""
+    state = {"calls": 0}
+
+    def model(texts):
+        state["calls"] += 1
+        if len(texts) > 7:
+            raise ValueError("too many texts at once")
+        if state["calls"] <= 2:
+            raise ConnectionError("busy")
+        return [[float(len(t)), float(state["calls"] > 2)] for t in texts]
+
+    return model
+
+
+def test_model_embedder_cuts_calls_and_tries_again(spark):
+    df = spark.createDataFrame([(i, "x" * i) for i in range(40)], "i int, text string").coalesce(1)
+    got = embed.ModelEmbedder(flaky_model, 2, batch_size=7, tries=3, backoff=0.01).embed(df).orderBy("i").collect()
+    assert [r["vector"] for r in got] == [[float(i), 1.0] for i in range(40)]
+    with pytest.raises(Exception, match="busy"):
+        embed.ModelEmbedder(flaky_model, 2, batch_size=7, tries=2, backoff=0.01).embed(df).collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -52,26 +53,51 @@ class HashingEmbedder:
         )
 
 
+# Texts per call of a model, and tries of a call before its task fails.
+CALL_TEXTS = 500
+CALL_TRIES = 5
+
+
 class ModelEmbedder:
     """Any model: ``load()`` runs once per Python worker and returns a function
-    from a list of texts to a list of vectors.  A failing call fails its task,
-    which Spark retries."""
+    from a list of texts to a list of vectors.
+
+    Texts go to the model ``batch_size`` at a time.  A failing call is tried
+    again within the task, up to ``tries`` times in all, waiting ``backoff``
+    seconds and twice as long after each failure; then its task fails, which
+    Spark retries elsewhere."""
 
-    def __init__(self, load: Callable[[], Callable], dimensions: int):
+    def __init__(self, load: Callable[[], Callable], dimensions: int, batch_size: int = CALL_TEXTS,
+                 tries: int = CALL_TRIES, backoff: float = 1.0):
+        if batch_size < 1 or tries < 1:
+            raise ValueError("batch_size and tries must be at least 1")
         self.load = load
         self.dimensions = dimensions
+        self.batch_size, self.tries, self.backoff = batch_size, tries, backoff
 
     def embed(self, df: DataFrame, text: str = "text", vector: str = "vector") -> DataFrame:
         load, width = self.load, self.dimensions
+        size, tries, backoff = self.batch_size, self.tries, self.backoff
+
+        def call(model, texts: list[str]) -> list[list[float]]:
+            for attempt in range(tries):
+                try:
+                    return [list(map(float, v)) for v in model(texts)]
+                except Exception:
+                    if attempt == tries - 1:
+                        raise
+                    time.sleep(backoff * 2**attempt)
+            return []
 
         @F.pandas_udf("array<float>")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             model = load()
             for batch in batches:
-                vectors = [list(map(float, v)) for v in model(batch.fillna("").tolist())]
-                if any(len(v) != width for v in vectors):
-                    raise ValueError(f"the model's vectors are not {width} wide")
-                yield pd.Series(vectors)
+                texts = batch.fillna("").tolist()
+                vectors = [v for at in range(0, len(texts), size) for v in call(model, texts[at : at + size])]
+                if len(vectors) != len(texts) or any(len(v) != width for v in vectors):
+                    raise ValueError(f"the model's vectors are not {width} wide, or not one per text")
+                yield pd.Series(vectors, dtype=object)
 
         return df.withColumn(vector, run(F.col(text)))
 
