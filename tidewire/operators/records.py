@@ -137,6 +137,7 @@ def reject_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         lines.where(line_kind(F.col(value)) == "error")
         .select(
             *carried,
+            # Fixed value: the message reads as the reference's.
             F.concat(
                 F.lit("Too few fields: "),
                 F.size(_pieces(value)).cast("string"),
@@ -189,6 +190,7 @@ def failed_files(
         .groupBy(by)
         .agg(F.count_if("_bad").alias("errors"))
         .where(F.col("errors") >= max_errors)
+        # Fixed value: the message reads as the reference's.
         .withColumn("message", F.lit(f"Max errors ({max_errors}) exceeded"))
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -248,6 +248,7 @@ def parse_to_completed(
         "file_url",
         F.when(fails, F.lit("failed")).otherwise(F.lit("completed")).alias("status"),
         F.when(~fails, F.col("records_parsed")).alias("record_count"),
+        # Fixed value: the message reads as the reference's.
         F.when(fails, F.lit(f"Max errors ({max_errors}) exceeded")).alias("error_message"),
     )
     log.append(mf.update_status(outcome, state, now, log.next_seq()))
@@ -366,7 +367,7 @@ def run(
     table = VectorTable(spark, paths.vectors, embedder.dimensions)
     final = vec_stats(table.read(), paths.vectors).first()
     stats.update({k: final[k] for k in ("total_records", "min_date", "max_date")})
-    stats["run_ended_at"] = datetime.now()
+    stats["run_ended_at"] = datetime.now(timezone.utc).replace(tzinfo=None)  # UTC, as the start
     row = spark.createDataFrame([tuple(stats.get(f.name) for f in RUN_STATS.fields)], RUN_STATS)
     row.write.mode("append").parquet(paths.runs)
     return row

@@ -42,6 +42,7 @@ STATUSES = ["pending", "downloading", "downloaded", "parsing", "completed", "fai
 
 STRINGS = T.ArrayType(T.StringType())
 
+# Names and order as the reference stores them.
 LOCATION = T.StructType(
     [
         T.StructField("location_type", T.LongType()),
@@ -56,6 +57,7 @@ LOCATION = T.StructType(
     ]
 )
 
+# Names and order as the reference stores them.
 TONE_PARTS = [
     "tone",
     "positive_score",
@@ -78,6 +80,7 @@ SHORT_LOCATION = T.StructType(
 SHORT_TONE = T.StructType([T.StructField("tone", T.DoubleType())])
 
 # The stored subset of a record.
+# Names and order as the reference stores them.
 PARSED_COLUMNS = [
     T.StructField("gkg_record_id", T.StringType()),
     T.StructField("date_str", T.StringType()),
@@ -139,6 +142,7 @@ EVENT_LOG = T.StructType(
     ]
 )
 
+# Names and order as the reference stores them.
 VECTOR_COLUMNS = [
     T.StructField("gkg_record_id", T.StringType()),
     T.StructField("date", T.StringType()),

@@ -90,7 +90,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     archive = zipfile.ZipFile(raw)
                     entries = archive.infolist()
                     if not entries:
-                        raise ValueError(f"Empty zip file: {name}")
+                        raise ValueError(f"Empty zip file: {name}")  # fixed value: the reference's message
                     n_bytes = entries[0].file_size
                     stream = archive.open(entries[0])
                 else:
@@ -147,6 +147,7 @@ def checksum_join(unpacked: DataFrame, files: DataFrame) -> DataFrame:
     mismatch = F.col("_wanted").isNotNull() & (F.col("_wanted") != F.col("actual_md5"))
     message = F.when(
         mismatch,
+        # Fixed value: the message reads as the reference's.
         F.concat(
             F.lit("MD5 mismatch for "),
             F.col("file_url"),
