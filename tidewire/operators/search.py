@@ -274,38 +274,42 @@ class _Rows:
         self._countries = None
         self._themes = None
 
-    def allowed(self, req: pa.Table, lists: bool = True) -> np.ndarray | None:
-        """rows x requests: which rows each request may see; None when no request filters.
+    def allowed(self, req: pa.Table, lists: bool, start: int, stop: int) -> np.ndarray | None:
+        """rows[start:stop] x requests: which rows each request may see; None when no request filters.
 
-        Without ``lists`` only the dates count."""
+        Without ``lists`` only the dates count.  Made slice by slice, so that it
+        never holds more cells than the distances of the slice."""
         b = req.num_rows
-        ok = np.ones((self.n, b), bool)
+        n = stop - start
+        ok = np.ones((n, b), bool)
         froms, tos = req.column("date_from").to_pylist(), req.column("date_to").to_pylist()
         filtered = False
         if any(froms) or any(tos):
             filtered = True
+            dates, months = self._dates[start:stop], self.months[start:stop]
             low = [f[:6] if f else None for f in froms]
             high = [t[:6] if t else None for t in tos]
-            d, m, f, t, lo6, hi6 = _ranks(self._dates, self.months, froms, tos, low, high)
+            d, m, f, t, lo6, hi6 = _ranks(dates, months, froms, tos, low, high)
             dated = d >= 0
+            unknown = np.array([x == "unknown" for x in months], bool)
             for j in range(b):
                 if froms[j]:
                     ok[:, j] &= dated & (d >= f[j])
                     if self.month:
-                        ok[:, j] &= (m >= lo6[j]) | np.array([x == "unknown" for x in self.months])
+                        ok[:, j] &= (m >= lo6[j]) | unknown
                 if tos[j]:
                     ok[:, j] &= dated & (d <= t[j])
                     if self.month:
-                        ok[:, j] &= ((m >= 0) & (m <= hi6[j])) | np.array([x == "unknown" for x in self.months])
+                        ok[:, j] &= ((m >= 0) & (m <= hi6[j])) | unknown
         asked = req.column("countries").to_pylist() if lists else []
         if any(asked):
             filtered = True
             names = sorted({c for cs in asked if cs for c in cs if c is not None})
             where = {c: i for i, c in enumerate(names)}
-            has = np.zeros((self.n, len(names)), np.float32)
+            has = np.zeros((n, len(names)), np.float32)
             if self._countries is None:
                 self._countries = self.table.column("countries").to_pylist()
-            for i, cs in enumerate(self._countries):
+            for i, cs in enumerate(self._countries[start:stop]):
                 for c in cs or ():
                     if c in where:
                         has[i, where[c]] = 1
@@ -323,12 +327,13 @@ class _Rows:
             filtered = True
             words = sorted({t.lower() for ts in terms if ts for t in ts if t is not None})
             if self._themes is None:
-                lists = self.table.column("themes").to_pylist()
-                self._themes = pa.array([None if x is None else " ".join(v for v in x if v is not None).lower() for x in lists],
+                lists_of = self.table.column("themes").to_pylist()
+                self._themes = pa.array([None if x is None else " ".join(v for v in x if v is not None).lower() for x in lists_of],
                                         pa.string())
             import pyarrow.compute as pc
 
-            found = np.stack([pc.fill_null(pc.match_substring(self._themes, w), False).to_numpy(zero_copy_only=False)
+            joined = self._themes.slice(start, n)
+            found = np.stack([pc.fill_null(pc.match_substring(joined, w), False).to_numpy(zero_copy_only=False)
                               for w in words], 1).astype(np.float32)
             want = np.zeros((len(words), b), np.float32)
             where = {w: i for i, w in enumerate(words)}
@@ -368,7 +373,6 @@ def _best_of_task(path: str, key: str, month: str | None, lists: bool):
             b = len(queries)
             keep = np.maximum(np.array(req.column("_keep").to_pylist(), np.int64), 0)
             q_norms = np.square(queries).sum(axis=1)
-            allowed = rows.allowed(req, lists)
             best_q = best_r = np.zeros(0, np.int64)
             best_d = np.zeros(0)
             worst = np.full(b, np.inf)
@@ -376,7 +380,8 @@ def _best_of_task(path: str, key: str, month: str | None, lists: bool):
             for start in range(0, rows.n, step):
                 part, usable = _matrix(vectors.slice(start, step), width)
                 near = np.square(part).sum(axis=1)[:, None] + q_norms[None, :] - 2.0 * (part @ queries.T)
-                mask = usable[:, None] if allowed is None else usable[:, None] & allowed[start : start + len(part)]
+                allowed = rows.allowed(req, lists, start, start + len(part))
+                mask = usable[:, None] if allowed is None else usable[:, None] & allowed
                 near[~np.broadcast_to(mask, near.shape)] = np.inf
                 slack = 1e-9 * (1.0 + np.square(part).sum(axis=1).max(initial=0.0) + q_norms)
                 k_eff = np.clip(keep, 1, len(part))
