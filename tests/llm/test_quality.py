@@ -1,10 +1,10 @@
 """Repetition coverage and URL rules."""
 
-import pytest
-
 import collections
 import random
 
+import pytest
+
 from tests.llm.common import WORD, edge_rows, same, table
 from tidewire.llm import repetition, url_rules
 
