@@ -73,3 +73,10 @@ def test_candidates_keep_ties_by_first_member():
     first, count = np.array([9, 1, 0]), np.array([3, 1, 1])
     kept = lexical._candidates(item, score, cls, first, count, 2)
     assert sorted(cls[kept]) == [0, 1]
+
+
+def test_items_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "ITEMS_PER_BLOCK", 2)
+    d, q = docs(), items() + [(None, "the bag")]
+    got = lexical.search(table(spark, d), spark.createDataFrame(q, "item_id long, text string")).collect()
+    same(got, brute(d, [x for x in q if x[0] is not None]))

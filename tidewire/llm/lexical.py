@@ -257,8 +257,9 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, id_col: str = "doc_i
     table gives no rows.  Only the id and text columns are read, so other names
     cannot clash.  Texts are read whole; a task holds one slice of texts (or one
     longer text) and a block's postings.  The item table is a stated query set:
-    its terms reach the driver ``ITEMS_PER_BLOCK`` items at a time, and each
-    block reads the stored bags once more.
+    its items are dealt into blocks of about ``ITEMS_PER_BLOCK`` by a hash of
+    their id, a block's terms reach the driver at a time, and each block reads the
+    stored classes once more.
     """
     spark = docs.sparkSession
     wanted = item_terms(items, item_id, item_text).cache()
@@ -284,14 +285,19 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, id_col: str = "doc_i
         ranked = shaped.withColumn("r", F.row_number().over(first_k)).where(F.col("r") <= k)
         classes = ranked.groupBy(*bag_key).agg(F.array_sort(F.collect_list("doc_id")).alias("members"))
         index = {t: i for i, t in enumerate(vocab_terms)}
-        ids = [r.item_id for r in wanted.select("item_id").distinct().orderBy("item_id").collect()]
+        # items are dealt into blocks by a hash of their id; only the count reaches the driver at once
+        named = wanted.where(F.col("item_id").isNotNull())
+        n_blocks = max(1, -(-named.select("item_id").distinct().count() // ITEMS_PER_BLOCK))
         found = None
-        for at in range(0, len(ids), ITEMS_PER_BLOCK):
-            chosen = ids[at : at + ITEMS_PER_BLOCK]
-            rows = wanted.where(F.col("item_id").between(chosen[0], chosen[-1])).collect()
+        for b in range(n_blocks):
+            rows = named.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == b).collect()
+            if not rows:
+                continue
             block = Block([(r.item_id, index[r.term], r.q) for r in rows], vocabulary.size, weights)
             part = top_per_item(classes, block, k)
             found = part if found is None else found.unionByName(part)
+        if found is None:
+            return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     finally:
         wanted.unpersist()
     order = Window.partitionBy("item_id").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
