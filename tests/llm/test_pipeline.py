@@ -98,3 +98,17 @@ def test_the_rest_stands_without_these_operators():
         "assert 'knn_batch' in names and not any(n.startswith('op1_') or n == 'pipeline' for n in names)\n"
     )
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
+
+
+def test_other_missing_modules_are_not_forgiven():
+    """Only the subpackage's absence is passed over; a missing module it needs fails the import."""
+    code = (
+        "import sys\n"
+        "class Gone:\n"
+        "    def find_spec(self, name, path=None, target=None):\n"
+        "        if name == 'public_tokenizers': raise ModuleNotFoundError(name, name=name)\n"
+        "sys.meta_path.insert(0, Gone())\n"
+        "import __spark_entry__\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, timeout=120, capture_output=True, text=True)
+    assert done.returncode != 0 and "public_tokenizers" in done.stderr
