@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidewire.plans import feed_run
 from tidewire.schemas import PARSED_STORED
-from tidewire.session import hadoop_path, scratch_path
+from tidewire.session import hadoop_path, remove_path, scratch_path
 from tidewire.sources import archive, filelist
+from tidewire.sources.tables import partition_path
 from tidewire.sources.vectors import VectorTable
 from tidewire.streaming import feed
 
@@ -51,16 +54,16 @@ def archives(spark, sf):
         return buffer.getvalue()[: 20 if form == "broken" else None]
 
     def run(batches):
-        for b in batches:
-            b["content"] = [pack(t, f) for t, f in zip(b["text"], b["form"])]
-            yield b[["source_file", "content"]]
+        for b in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
+            content = [pack(t, f) for t, f in zip(b["text"].to_pylist(), b["form"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([b["source_file"], pa.array(content, pa.binary())], names=["source_file", "content"])
 
     named = docs.select(
         F.concat(day, F.col("doc_id").cast("string"), suffix).alias("source_file"),
         "text",
         kind.alias("form"),
     )
-    packed = named.mapInPandas(run, "source_file string, content binary")
+    packed = named.mapInArrow(run, "source_file string, content binary")
     return packed.withColumn("actual_md5", F.md5("content"))
 
 
@@ -86,7 +89,7 @@ def src_archive(spark, sf):
 )
 def checksum_join(spark, sf):
     """Every tenth file is listed with a wrong checksum, every third with none."""
-    unpacked = archive.archive_lines(archives(spark, sf))
+    unpacked = archive.archive_heads(archives(spark, sf))
     number = F.regexp_extract("source_file", r"-([0-9]+)\.", 1).cast("bigint")
     files = archives(spark, sf).select(
         F.concat(F.lit("http://feed.example/"), "source_file").alias("file_url"),
@@ -154,30 +157,56 @@ _RUNS: dict[tuple[str, str], tuple[feed_run.FeedPaths, list]] = {}
 
 
 def _land(spark, sf, paths):
-    """The lines as landed files with dated names, and the list of them.
+    """The lines as landed files with dated names, one for each name, and the list of them.
 
-    One source's files are listed with a wrong checksum.
+    One source's files are listed with a wrong checksum.  A file has one writer, which is sent
+    its lines in compressed pieces.
     """
-    by_file = inputs.lines(spark, sf).select("value", "source_file").repartition("source_file")
-    by_file.write.partitionBy("source_file").text(paths.archives)
-    fs, root = hadoop_path(spark, paths.archives)
-    for folder in fs.listStatus(root):
-        if not folder.isDirectory():
-            continue
-        name = folder.getPath().getName().split("=", 1)[1].removesuffix(".gkg.csv")
-        parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
-        for i, part in enumerate(sorted(parts, key=lambda p: p.getName())):
-            fs.rename(part, hadoop_path(spark, f"{paths.archives}/{name}-{i:05d}.gkg.csv")[1])
-    landed = archive.read_archives(spark, paths.archives).where(F.col("source_file").endswith(".gkg.csv"))
+
+    def pack(batches):
+        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+            held = {}
+            for value, name in zip(b["value"].to_pylist(), b["source_file"].to_pylist()):
+                held.setdefault(name, []).append(value or "")
+            texts = ["\n".join(lines).encode() for lines in held.values()]
+            columns = [pa.array(list(held), pa.string()), pa.array(map(len, texts)), pa.array(map(archive.pack, texts))]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "n_bytes", "piece"])
+
+    def unpack(batches):
+        for b in batches:
+            for n_bytes, piece in zip(b["n_bytes"].to_pylist(), b["piece"]):
+                yield pa.RecordBatch.from_arrays([pa.array([archive.unpack(piece, n_bytes).decode()])], names=["value"])
+
+    lines = inputs.lines(spark, sf).select("value", "source_file")
+    names = [r["source_file"] for r in lines.select("source_file").distinct().collect()]  # one row per file
+    numbered = spark.createDataFrame(list(zip(names, range(len(names)))), "wanted string, file int")
+    packed = lines.mapInArrow(pack, "name string, n_bytes bigint, piece binary")
+    dealt = packed.join(F.broadcast(numbered), F.col("name").eqNullSafe(F.col("wanted")))
+    written = scratch_path(spark, "landing")
+    dealt.repartitionById(max(1, len(names)), "file").select("n_bytes", "piece").mapInArrow(unpack, "value string").write.text(written)
+    fs, root = hadoop_path(spark, written)
+    fs.mkdirs(hadoop_path(spark, paths.archives)[1])
+    for part in fs.listStatus(root):
+        number = re.fullmatch(r"part-([0-9]{5,})-.*", part.getPath().getName())
+        if number:
+            name = names[int(number[1])]
+            name = "__HIVE_DEFAULT_PARTITION__" if name is None else partition_path(spark, "", name=name).split("=", 1)[1]
+            target = f"{paths.archives}/{name.removesuffix('.gkg.csv')}-00000.gkg.csv"
+            fs.rename(part.getPath(), hadoop_path(spark, target)[1])
+    remove_path(spark, written)
+    landed = [(r["path"], r["length"]) for r in archive.list_landed(spark, paths.archives).collect()]
+    pieces = scratch_path(spark, "landed-pieces")
+    heads = archive.landed_heads(spark, landed, pieces)
     wrong = F.col("source_file").contains("-src7-")
-    landed.select(
+    heads.select(
         F.concat_ws(
             " ",
-            F.length("content").cast("string"),
+            F.col("n_bytes").cast("string"),
             F.when(wrong, F.lit("0" * 32)).otherwise(F.col("actual_md5")),
             F.concat(F.lit("http://feed.example/"), F.col("source_file")),
         )
     ).write.text(filelist.list_path(paths.landing, "gkg"))
+    remove_path(spark, pieces)
 
 
 def _run_twice(spark, sf):

@@ -11,7 +11,7 @@ from tidewire.operators.manifest import ManifestLog
 from tidewire.plans import feed_run as fr
 from tidewire.schemas import FIELDS, PARSED_STORED
 from tidewire.session import scratch_path
-from tidewire.sources import parsed
+from tidewire.sources import archive, parsed
 from tidewire.sources.vectors import VectorTable
 from tidewire.streaming import feed
 
@@ -170,3 +170,42 @@ def test_stream_keeps_the_batch_record_in_any_arrival_order(spark, tmp_path):
     batch = VectorTable(spark, str(tmp_path / "vb"), 8)
     fr.embed_incremental(spark.read.schema(PARSED_STORED).parquet(str(tmp_path / "parsed0")), batch, HASHING)
     assert sorted((r.gkg_record_id, r.date, tuple(r.themes)) for r in batch.read().collect()) == found[0]
+
+
+def test_large_plain_file_is_never_one_value(spark, tmp_path, monkeypatch):
+    """A landed file above the size read whole: lines, numbers, size and MD5 as Python reads them."""
+    monkeypatch.setattr(archive, "WHOLE_BYTES", 3000)
+    monkeypatch.setattr(archive, "PIECE_BYTES", 700)
+    bodies = {
+        "20240131000000.gkg.csv": "\n".join(line(f"x{i}", "20240131", "T") for i in range(300)).encode(),
+        "2024 0131 a+b%41.gkg.csv": b"\xef\xbb\xbffirst\rsecond\r\n\r\r\n\n" + b"z\xff\xe2\x82 \xc3\xa9\n" * 900 + b"last\r",
+        "20240131003000.gkg.csv": b"\n" + b"q\r\n" * 2000,
+        "20240131004500.gkg.csv": b"\xef\xbb\xbf" + b"w\n" * 4000,
+        "20240131010000.gkg.csv": b"small\nfile",
+    }
+    folder = tmp_path / "landing" / "files"
+    folder.mkdir(parents=True)
+    for name, body in bodies.items():
+        (folder / name).write_bytes(body)
+    keys = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.sources.binaryFile.maxLength": "3000"}
+    keep = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        files = [(r.path, r.length) for r in archive.list_landed(spark, str(folder)).collect()]
+        rows = archive.landed_lines(spark, files, scratch_path(spark, "pieces")).collect()
+        heads = archive.landed_heads(spark, files, scratch_path(spark, "pieces")).collect()
+        listing(tmp_path, [(1, hashlib.md5(bodies["20240131000000.gkg.csv"]).hexdigest(), "20240131000000.gkg.csv")])
+        fr.sync(spark, fr.FeedPaths(str(tmp_path)), NOW)
+        assert fr.fetch(spark, fr.FeedPaths(str(tmp_path)), NOW) == {"files_downloaded": 1, "download_errors": 0}
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    for name, body in bodies.items():
+        mine = sorted((r.line_number, r.value) for r in rows if r.source_file == name and r.line_number)
+        wanted = io.TextIOWrapper(io.BytesIO(body), encoding="utf-8", errors="replace", newline=None).read().split("\n")
+        wanted = wanted[:-1] if wanted[-1] == "" else wanted
+        assert mine == list(enumerate(wanted, 1)), name
+    expected = sorted((n, len(b), hashlib.md5(b).hexdigest(), None) for n, b in bodies.items())
+    for found in (heads, [r for r in rows if r.line_number == 0]):
+        assert sorted((r.source_file, r.n_bytes, r.actual_md5, r.error) for r in found) == expected

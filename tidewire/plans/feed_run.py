@@ -134,12 +134,13 @@ def _due(state: DataFrame, landed: DataFrame, now: datetime) -> DataFrame:
     stuck = mf.stale_downloads(state, now)
     again = mf.retryable_files(state, limit=None)
     due = state.where(F.col("status") == "pending").unionByName(stuck).unionByName(again)
-    one_path = landed.groupBy("source_file").agg(F.min("path").alias("path"))
+    one_path = landed.groupBy("source_file").agg(F.min(F.struct("path", "length")).alias("_file")).select(
+        "source_file", "_file.path", "_file.length")
     return (
         due.withColumn("source_file", urls.url_filename(F.col("file_url")))
         .join(one_path, "source_file")
         .orderBy(F.asc_nulls_first("date_partition"), "created_at", "file_url")
-        .select("file_url", "checksum_md5", "path", "source_file")
+        .select("file_url", "checksum_md5", "path", "length", "source_file")
     )
 
 
@@ -170,10 +171,11 @@ def fetch(
             "file_url string, checksum_md5 string, source_file string",
         )
         log.append(mf.claim(files, now, seq - 1))
+        pieces = scratch_path(spark, "fetched-pieces")
         archive.write_raw(
-            archive.archive_lines(archive.read_archives(spark, [r["path"] for r in chunk])),
-            paths.raw,
+            archive.landed_lines(spark, [(r["path"], r["length"]) for r in chunk], pieces), paths.raw
         )
+        remove_path(spark, pieces)
         names = files.select("source_file").distinct()
         checked = scratch_path(spark, "fetched")
         archive.checksum_join(
