@@ -81,3 +81,12 @@ def test_empty_tables_and_no_labels(spark):
     assert len(model.hashes) == 0
     assert toxicity.score_texts(table(spark, []), model).count() == 0
     assert toxicity.score_texts(docs, model).where(F.col("score").isNull()).count() == 0
+
+
+def test_text_stays_in_its_task(spark):
+    docs, labels = labelled(spark, 100)
+    model = toxicity.train(toxicity.labelled_sample(docs, labels), docs)
+    narrow = toxicity.score_texts(docs.select("doc_id", "text"), model, keep_text=False)
+    assert narrow.columns == ["doc_id", "n_terms", "best", "passages", "score"]
+    whole = toxicity.score_texts(docs, model).select(*narrow.columns)
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, whole.collect()))

@@ -239,7 +239,7 @@ def op11_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of all documents; labels of rows that are not held out train the model."""
     docs = table(spark, sf, "documents")
     model = toxicity.train(toxicity.labelled_sample(docs, table(spark, sf, "labels")), docs)
-    scored = toxicity.score_texts(docs.select("doc_id", "text"), model)
+    scored = toxicity.score_texts(docs.select("doc_id", "text"), model, keep_text=False)
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score",
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
                          "n_terms", "best", F.size("passages").cast("long").alias("n_passages"))

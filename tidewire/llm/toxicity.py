@@ -41,6 +41,8 @@ from .lexical import term_spans
 # Labelled rows the model learns from at most (chosen by a hash of doc_id).
 MAX_LABELLED = 20_000
 MIN_TOXIC = 2
+# Bytes of text scored at once: the arrays of features take up to a hundred times as much.
+SLICE = 1 << 18
 # Bytes of the windows inside terms that count as features beside the term.
 GRAM = 5
 Z_MIN = 2.0
@@ -151,9 +153,11 @@ def _segments(model: Model, column: pa.Array, passages: bool):
     return np.diff(tb), best, found
 
 
-def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """The rows of ``docs`` with n_terms, best (segment score), passages and score (0 to 1) added.
 
+    Without ``keep_text`` the text itself does not come back from the task.
+
     A null or empty text has no terms: best 0, no passages, and the score of no
     evidence.  Other columns pass through untouched, so their names cannot clash
     unless they are named like the four added ones, which are replaced.  A task
@@ -161,20 +165,21 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
     """
     bc = docs.sparkSession.sparkContext.broadcast(model)
     added = ["n_terms", "best", "passages", "score"]
-    kept = [f for f in docs.schema.fields if f.name not in added]
+    kept = [f for f in docs.schema.fields if f.name not in added and (keep_text or f.name != text_col)]
     schema = T.StructType(kept + list(SCORED.fields) + [T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = bc.value
         for batch in batches:
-            for part in A.slices(batch, text_col):
+            for part in A.slices(batch, text_col, SLICE):
                 n, best, found = _segments(m, part[text_col], True)
                 cols = [part[f.name] for f in kept]
                 cols += [pa.array(n, pa.int64()), pa.array(best), pa.array(found, pa.list_(pa.struct([
                     ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))), pa.array(m.probability(n, best))]
                 yield pa.RecordBatch.from_arrays(cols, schema=pa.schema([pa.field(f.name, c.type) for f, c in zip(schema.fields, cols)]))
 
-    return docs.select(*[F.col(f.name) for f in kept]).mapInArrow(run, schema)
+    read = dict.fromkeys([f.name for f in kept] + [text_col])
+    return docs.select(*[F.col(c) for c in read]).mapInArrow(run, schema)
 
 
 def _counts(docs: DataFrame, text_col: str, label_col: str) -> DataFrame:
@@ -266,7 +271,7 @@ def calibrate(model: Model, sample: DataFrame) -> Model:
     def run(batches):
         m = bc.value
         for batch in batches:
-            for part in A.slices(batch, "text"):
+            for part in A.slices(batch, "text", SLICE):
                 n, best, _ = _segments(m, part["text"], False)
                 yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(best), part["toxic"].cast(pa.int64())],
                                                  names=["n", "best", "y"])
