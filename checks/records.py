@@ -216,9 +216,12 @@ def parse_record(spark, sf):
 
 
 def _text_folder(spark, sf):
-    """The lines as text files, one folder per source file."""
+    """The lines as text files, one folder per source file; a large one has several files.
+
+    Spark cuts large partitions and joins small ones, so no task reads a whole source file.
+    """
     path = scratch_path(spark, "lines")
-    by_file = inputs.lines(spark, sf).select("value", "source_file").repartition("source_file")
+    by_file = inputs.lines(spark, sf).select("value", "source_file").hint("rebalance", "source_file")
     by_file.write.partitionBy("source_file").text(path)
     return path
 
@@ -466,11 +469,13 @@ def _store(spark, sf, fmt="parquet"):
 )
 def sink_parsed(spark, sf):
     """Everything is written, the biggest file again, then that file read anew without records."""
-    path, rows = _store(spark, sf)
-    main = rows.where(F.col("source_file") == "20240315-main.gkg.csv")
-    parsed.write_parsed(main, path)
-    gone = main.select("date_partition", "source_file").distinct()
-    parsed.write_parsed(rows.where(~F.col("source_file").contains("main")), path, emptied=gone)
+    path, _ = _store(spark, sf)
+    # lines are parsed once: what is written again is read from the store
+    is_main = F.col("source_file") == "20240315-main.gkg.csv"
+    parsed.write_parsed(parsed.read_parsed(spark, path).where(is_main), path)
+    stored = parsed.read_parsed(spark, path)
+    gone = stored.where(is_main).select("date_partition", "source_file").distinct()
+    parsed.write_parsed(stored.where(~F.col("source_file").contains("main")), path, emptied=gone)
     return parsed.read_parsed(spark, path).select(*parsed_columns("date_partition", "source_file"))
 
 
