@@ -30,9 +30,19 @@ def _two(expr: str) -> str:
     return f"lpad(CAST({expr} AS string), 2, '0')"
 
 
+def spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A driver table dealt over the tasks as a real feed would be: it may be one row group.
+
+    Dealt by a hash of its rows, before anything wider is derived from them; dealing rows out in
+    turn would sort them first.
+    """
+    t = table(spark, sf, name)
+    return t.repartition(*t.columns)
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents, spread over the cores: the driver's file is one row group."""
-    return table(spark, sf, "documents").repartition(spark.sparkContext.defaultParallelism)
+    """All documents, spread over the tasks."""
+    return spread(spark, sf, "documents")
 
 
 # ---------------------------------------------------------------- record lines
@@ -203,9 +213,9 @@ FROM {benchmark}
 """
 
 
-def _spark(spark: SparkSession, sf: str, sql: str, *names: str) -> DataFrame:
+def _spark(spark: SparkSession, sf: str, sql: str, *names: str, **tables: DataFrame) -> DataFrame:
     return spark.sql(
-        sql.replace("{timestamp}", "TIMESTAMP_NTZ"), **{n: table(spark, sf, n) for n in names}
+        sql.replace("{timestamp}", "TIMESTAMP_NTZ"), **{n: table(spark, sf, n) for n in names}, **tables
     )
 
 
@@ -227,15 +237,13 @@ def _stored(
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _WRITTEN:
         path = scratch_path(spark, f"input-{name}")
-        # the driver tables are single small files: spread them as a real feed would be
-        spread = rows().repartition(spark.sparkContext.defaultParallelism)
-        spread.write.partitionBy(*by).parquet(path)
+        rows().write.partitionBy(*by).parquet(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    path = _stored(spark, sf, "lines", lambda: _spark(spark, sf, LINES, "documents"), [])
+    path = _stored(spark, sf, "lines", lambda: _spark(spark, sf, LINES, documents=documents(spark, sf)), [])
     return spark.read.schema("line_number bigint, source_file string, value string").parquet(path)
 
 
@@ -244,17 +252,25 @@ def file_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_log(spark: SparkSession, sf: str) -> DataFrame:
-    path = _stored(spark, sf, "events", lambda: _spark(spark, sf, EVENTS, "events"), [])
+    path = _stored(spark, sf, "events", lambda: _spark(spark, sf, EVENTS, events=spread(spark, sf, "events")), [])
     return spark.read.schema(EVENT_LOG).parquet(path)
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     """The vector table in its stored layout, a folder per month."""
+
+    def rows() -> DataFrame:
+        embeddings = spread(spark, sf, "embeddings")
+        # only documents with an embedding meet the join, which would sort whole texts
+        ids = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"))
+        met = table(spark, sf, "documents").join(ids, "doc_id", "left_semi")
+        return _spark(spark, sf, VECTORS, "nation", embeddings=embeddings, documents=met)
+
     path = _stored(
         spark,
         sf,
         "vectors",
-        lambda: _spark(spark, sf, VECTORS, "embeddings", "documents", "nation"),
+        rows,
         ["year_month"],
     )
     return spark.read.schema(VECTOR_STORED).parquet(path)
