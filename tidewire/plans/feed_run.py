@@ -25,7 +25,7 @@ from ..session import path_exists, remove_path, scratch_path
 from ..sources import archive, parsed
 from ..sources.filelist import read_file_list
 from ..sources.tables import small_side
-from ..sources.vectors import VectorTable, folder_month, stored_among, vec_row_shape, vec_stats
+from ..sources.vectors import VectorTable, cut_lists, folder_month, stored_among, vec_row_shape, vec_stats
 
 FETCH_BATCH = 20_000  # files per fetch job; their paths pass through the driver
 DEFAULT_DAYS = 30
@@ -291,6 +291,7 @@ def embed_incremental(records: DataFrame, table: VectorTable, embedder: Embedder
     spark = records.sparkSession
     # the records are evaluated once: everything below reads this copy
     copy = scratch_path(spark, "intake")
+    records = cut_lists(records)
     records.write.parquet(copy)
     records = spark.read.schema(records.schema).parquet(copy)
     path = scratch_path(spark, "stored-ids")

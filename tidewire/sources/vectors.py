@@ -27,25 +27,35 @@ def country_set(locations: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(codes, lambda x: x != "")))
 
 
+# How much of a record's lists is stored; the embedding text takes no more than this either.
+KEPT = {"themes": 20, "persons": 10, "organizations": 10, "locations": 10}
+
+
+def cut_lists(records: DataFrame) -> DataFrame:
+    """Records with their lists cut to what embedding and the vector table use of them, before rows
+    are copied, shuffled and sorted."""
+    return records.withColumns({c: F.slice(c, 1, n) for c, n in KEPT.items()})
+
+
 def vec_row_shape(records: DataFrame) -> DataFrame:
     """Record with text_hash and vector -> row of the vector table."""
 
     def text(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(""))
 
-    def head(name: str, n: int) -> Column:
-        return F.slice(F.coalesce(F.col(name), F.array().cast("array<string>")), 1, n)
+    def head(name: str) -> Column:
+        return F.slice(F.coalesce(F.col(name), F.array().cast("array<string>")), 1, KEPT[name])
 
-    top_locations = F.slice("locations", 1, 10)
+    top_locations = F.slice("locations", 1, KEPT["locations"])
     names = F.filter(F.transform(top_locations, lambda x: x["full_name"]), lambda x: x != "")
     empty = F.array().cast("array<string>")
     return records.select(
         "gkg_record_id",
         F.substring(text("date_str"), 1, 8).alias("date"),
         text("date_str").alias("timestamp"),
-        head("themes", 20).alias("themes"),
-        head("persons", 10).alias("persons"),
-        head("organizations", 10).alias("organizations"),
+        head("themes").alias("themes"),
+        head("persons").alias("persons"),
+        head("organizations").alias("organizations"),
         F.coalesce(names, empty).alias("locations"),
         F.coalesce(country_set(top_locations), empty).alias("countries"),
         F.coalesce(F.col("tone.tone"), F.lit(0.0)).cast("float").alias("tone"),

@@ -18,7 +18,7 @@ from ..operators.records import parse_records, project_parsed
 from ..schemas import PARSED_STORED
 from ..session import hadoop_path, remove_path, scratch_path
 from ..sources.parsed import write_parsed
-from ..sources.vectors import VectorTable, folder_month, new_records, vec_row_shape
+from ..sources.vectors import VectorTable, cut_lists, folder_month, new_records, vec_row_shape
 
 # Bytes of a folder name that file systems take, less the column's name and a margin.
 FOLDER_NAME = 200
@@ -111,7 +111,7 @@ def stream_embed(
 
     def write(batch: DataFrame, _batch_id: int) -> None:
         # the best record of each id in the batch, against the rank stored with the id
-        best = one_per_id(batch, *first_of_id()).withColumn("_rank", rank_of())
+        best = one_per_id(cut_lists(batch), *first_of_id()).withColumn("_rank", rank_of())
         stored = table.ranks_among(best).select("gkg_record_id", F.col("rank").alias("_stored"), F.lit(True).alias("_there"))
         # new ids, and stored ones whose record ranks behind this one; a stored id of unknown rank stays
         taken = best.join(stored, "gkg_record_id", "left").where(
