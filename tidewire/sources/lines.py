@@ -29,9 +29,11 @@ def lines_of_text(texts: DataFrame, content: str = "content") -> DataFrame:
     A final line end opens no further line.
     """
     carried = [F.col(c) for c in texts.columns if c != content]
-    body = F.regexp_replace(F.make_valid_utf8(F.col(content)), r"(\r\n|\n|\r)\z", "")
+    # plain replacements and a one-character separator: no regular expression runs over the text
+    unified = F.replace(F.replace(F.make_valid_utf8(F.col(content)), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    body = F.when(F.endswith(unified, F.lit("\n")), F.left(unified, F.length(unified) - 1)).otherwise(unified)
     return (
         texts.where(F.length(content) > 0)
-        .select(*carried, F.posexplode(F.split(body, LINE_END)).alias("_pos", "value"))
+        .select(*carried, F.posexplode(F.split(body, "\n")).alias("_pos", "value"))
         .select(*carried, (F.col("_pos") + 1).cast("bigint").alias("line_number"), "value")
     )
