@@ -247,6 +247,18 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("line_number bigint, source_file string, value string").parquet(path)
 
 
+def lines_once(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`lines` for a reader that takes them once: no copy is stored for it, one that is there is read."""
+    if (spark.sparkContext.applicationId, sf, "lines") in _WRITTEN:
+        return lines(spark, sf)
+    return _spark(spark, sf, LINES, documents=documents(spark, sf))
+
+
+def source_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The distinct source files of :func:`lines`; no text is read."""
+    return _spark(spark, sf, LINES, documents=table(spark, sf, "documents")).select("source_file").distinct()
+
+
 def file_lines(spark: SparkSession, sf: str) -> DataFrame:
     return _spark(spark, sf, FILE_LINES, "pages")
 

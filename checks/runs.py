@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewire.plans import feed_run
 from tidewire.schemas import PARSED_STORED
-from tidewire.session import hadoop_path, remove_path, scratch_path
+from tidewire.session import hadoop_path, remove_path, scratch_path, shuffles_dropped
 from tidewire.sources import archive, filelist
 from tidewire.sources.tables import partition_path
 from tidewire.sources.vectors import VectorTable
@@ -177,13 +177,15 @@ def _land(spark, sf, paths):
             for n_bytes, piece in zip(b["n_bytes"].to_pylist(), b["piece"]):
                 yield pa.RecordBatch.from_arrays([pa.array([archive.unpack(piece, n_bytes).decode()])], names=["value"])
 
-    lines = inputs.lines(spark, sf).select("value", "source_file")
-    names = [r["source_file"] for r in lines.select("source_file").distinct().collect()]  # one row per file
+    lines = inputs.lines_once(spark, sf).select("value", "source_file")
+    names = [r["source_file"] for r in inputs.source_files(spark, sf).collect()]  # one row per file
     numbered = spark.createDataFrame(list(zip(names, range(len(names)))), "wanted string, file int")
     packed = lines.mapInArrow(pack, "name string, n_bytes bigint, piece binary")
     dealt = packed.join(F.broadcast(numbered), F.col("name").eqNullSafe(F.col("wanted")))
     written = scratch_path(spark, "landing")
-    dealt.repartitionById(max(1, len(names)), "file").select("n_bytes", "piece").mapInArrow(unpack, "value string").write.text(written)
+    texts = dealt.repartitionById(max(1, len(names)), "file").select("n_bytes", "piece").mapInArrow(unpack, "value string")
+    with shuffles_dropped(spark):
+        texts.write.text(written)
     fs, root = hadoop_path(spark, written)
     fs.mkdirs(hadoop_path(spark, paths.archives)[1])
     for part in fs.listStatus(root):

@@ -21,7 +21,7 @@ from ..operators import manifest as mf
 from ..operators.embed import Embedder, embed_records, first_of_id, one_per_id, rank_of
 from ..operators.records import MAX_ERRORS, parse_records, parse_stats, project_parsed
 from ..schemas import RUN_STATS
-from ..session import path_exists, remove_path, scratch_path
+from ..session import path_exists, remove_path, scratch_path, shuffles_dropped
 from ..sources import archive, parsed
 from ..sources.filelist import read_file_list
 from ..sources.tables import small_side
@@ -295,19 +295,20 @@ def embed_incremental(records: DataFrame, table: VectorTable, embedder: Embedder
     records.write.parquet(copy)
     records = spark.read.schema(records.schema).parquet(copy)
     path = scratch_path(spark, "stored-ids")
-    stored_among(records, table).write.parquet(path)  # the table's id index: filters, then its buckets
-    seen = spark.read.schema("gkg_record_id string").parquet(path)
-    skipped = records.select("gkg_record_id").join(seen, "gkg_record_id", "left_semi").count()
-    fresh = one_per_id(
-        records.join(seen, "gkg_record_id", "left_anti"),
-        *first_of_id(),
-    )
-    # Few and well-sized files per month: Spark splits big months, joins small
-    # ones.  Done before embedding, while rows are still narrow.
-    month = fresh.withColumn("_month", folder_month(F.col("date_str"))).hint("rebalance", "_month")
-    rows = vec_row_shape(embed_records(month, embedder))
-    written = Observation("embedded")
-    table.append(rows.observe(written, F.count(F.lit(1)).alias("n")), fresh.select("gkg_record_id", rank_of().alias("rank")))
+    with shuffles_dropped(spark):
+        stored_among(records, table).write.parquet(path)  # the table's id index: filters, then its buckets
+        seen = spark.read.schema("gkg_record_id string").parquet(path)
+        skipped = records.select("gkg_record_id").join(seen, "gkg_record_id", "left_semi").count()
+        fresh = one_per_id(
+            records.join(seen, "gkg_record_id", "left_anti"),
+            *first_of_id(),
+        )
+        # Few and well-sized files per month: Spark splits big months, joins small
+        # ones.  Done before embedding, while rows are still narrow.
+        month = fresh.withColumn("_month", folder_month(F.col("date_str"))).hint("rebalance", "_month")
+        rows = vec_row_shape(embed_records(month, embedder))
+        written = Observation("embedded")
+        table.append(rows.observe(written, F.count(F.lit(1)).alias("n")), fresh.select("gkg_record_id", rank_of().alias("rank")))
     remove_path(spark, path)
     remove_path(spark, copy)
     return {"records_embedded": written.get["n"], "records_skipped": skipped}

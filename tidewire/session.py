@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,22 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/tidewire/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside drop their shuffle files as they end; else these stay until the driver
+    happens to collect its garbage.
+
+    For steps that store what they make: a DataFrame run inside and run again shuffles again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The path with its file system, so that any storage Spark reads works."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

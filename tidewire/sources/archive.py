@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..schemas import RAW_STORED
-from ..session import path_exists
+from ..session import path_exists, shuffles_dropped
 from .tables import read_partitions, replace_partitions, small_side
 
 LINES_PER_BATCH = 20_000
@@ -280,10 +280,17 @@ def _by_size(files: Iterable[tuple[str, int]]) -> tuple[list[str], list[str]]:
     return whole, large
 
 
-def _sums(pieces: DataFrame) -> DataFrame:
-    """Heads of large files: the compressed pieces of a file pass through one task, one after the other."""
+def _sums(pieces: DataFrame, scratch: str) -> DataFrame:
+    """Heads of large files: the compressed pieces of a file pass through one task, one after the other.
+
+    Stored below ``scratch`` at once, so that the shuffled pieces are gone before any line is written.
+    """
+    spark = pieces.sparkSession
     ordered = pieces.repartition("path").sortWithinPartitions(*_PLACE)
-    return ordered.select("source_file", "size", "extra", "is_last", "n_bytes", "data").mapInArrow(_piece_sums, _UNPACKED_DDL)
+    heads = ordered.select("source_file", "size", "extra", "is_last", "n_bytes", "data").mapInArrow(_piece_sums, _UNPACKED_DDL)
+    with shuffles_dropped(spark):
+        heads.write.parquet(f"{scratch}/heads")
+    return spark.read.schema(_UNPACKED_DDL).parquet(f"{scratch}/heads")
 
 
 def landed_lines(spark: SparkSession, files: Iterable[tuple[str, int]], scratch: str) -> DataFrame:
@@ -296,7 +303,7 @@ def landed_lines(spark: SparkSession, files: Iterable[tuple[str, int]], scratch:
     if large:
         pieces = _pieces(spark, large, scratch)
         lines = pieces.select("source_file", "lines_before", "extra", "n_bytes", "data").mapInArrow(_piece_lines, _UNPACKED_DDL)
-        rows = rows.unionByName(lines).unionByName(_sums(pieces))
+        rows = rows.unionByName(lines).unionByName(_sums(pieces, scratch))
     return rows
 
 
@@ -305,7 +312,7 @@ def landed_heads(spark: SparkSession, files: Iterable[tuple[str, int]], scratch:
     whole, large = _by_size(files)
     rows = archive_heads(read_archives(spark, whole)) if whole else spark.createDataFrame([], _UNPACKED_DDL)
     if large:
-        rows = rows.unionByName(_sums(_pieces(spark, large, scratch)))
+        rows = rows.unionByName(_sums(_pieces(spark, large, scratch), scratch))
     return rows
 
 
