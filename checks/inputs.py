@@ -247,10 +247,8 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("line_number bigint, source_file string, value string").parquet(path)
 
 
-def lines_once(spark: SparkSession, sf: str) -> DataFrame:
-    """:func:`lines` for a reader that takes them once: no copy is stored for it, one that is there is read."""
-    if (spark.sparkContext.applicationId, sf, "lines") in _WRITTEN:
-        return lines(spark, sf)
+def fresh_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`lines` for a reader that takes them once: made from the documents, no copy is stored."""
     return _spark(spark, sf, LINES, documents=documents(spark, sf))
 
 

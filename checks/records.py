@@ -218,10 +218,11 @@ def parse_record(spark, sf):
 def _text_folder(spark, sf):
     """The lines as text files, one folder per source file; a large one has several files.
 
-    Spark cuts large partitions and joins small ones, so no task reads a whole source file.
+    Spark cuts large partitions and joins small ones, so no task reads a whole source file.  It cuts
+    between the tasks that send lines, so these come dealt from the documents, not from stored files.
     """
     path = scratch_path(spark, "lines")
-    by_file = inputs.lines(spark, sf).select("value", "source_file").hint("rebalance", "source_file")
+    by_file = inputs.fresh_lines(spark, sf).select("value", "source_file").hint("rebalance", "source_file")
     by_file.write.partitionBy("source_file").text(path)
     return path
 

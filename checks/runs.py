@@ -177,7 +177,7 @@ def _land(spark, sf, paths):
             for n_bytes, piece in zip(b["n_bytes"].to_pylist(), b["piece"]):
                 yield pa.RecordBatch.from_arrays([pa.array([archive.unpack(piece, n_bytes).decode()])], names=["value"])
 
-    lines = inputs.lines_once(spark, sf).select("value", "source_file")
+    lines = inputs.fresh_lines(spark, sf).select("value", "source_file")
     names = [r["source_file"] for r in inputs.source_files(spark, sf).collect()]  # one row per file
     numbered = spark.createDataFrame(list(zip(names, range(len(names)))), "wanted string, file int")
     packed = lines.mapInArrow(pack, "name string, n_bytes bigint, piece binary")

@@ -7,7 +7,7 @@ import time
 import pyarrow.parquet as pq
 import pytest
 
-from checks import inputs, runs
+from checks import inputs, records, runs
 from tidewire.plans import feed_run
 from tidewire.session import scratch_path, shuffles_dropped
 from tidewire.sources import archive
@@ -75,13 +75,19 @@ def test_sums_are_stored_before_lines_are_written(spark, documents, tmp_path, mo
         assert found.where("line_number = 0").count() == len(files)
 
 
-def test_one_reader_reads_the_lines_that_are_stored_for_others(spark, documents):
-    alone = inputs.lines_once(spark, documents)
-    named = ["line_number", "source_file", "value"]
-    rows, files = alone.select(named).collect(), inputs.source_files(spark, documents).collect()
-    assert sorted(rows, key=str) == sorted(inputs.lines(spark, documents).select(named).collect(), key=str)
-    assert sorted(files) == sorted({(r.source_file,) for r in rows}) and len(rows) == 900
-    assert all("input-lines" in f for f in inputs.lines_once(spark, documents).inputFiles())
+def test_fresh_lines_are_the_stored_ones(spark, documents):
+    names = ["line_number", "source_file", "value"]
+    rows = inputs.fresh_lines(spark, documents).select(names).collect()
+    assert (spark.sparkContext.applicationId, documents, "lines") not in inputs._WRITTEN and len(rows) == 900
+    assert sorted(rows, key=str) == sorted(inputs.lines(spark, documents).select(names).collect(), key=str)
+    assert sorted(inputs.source_files(spark, documents).collect()) == sorted({(r.source_file,) for r in rows})
+
+
+def test_text_files_are_made_without_stored_lines(spark, documents):
+    """One stored file of lines has one sender, between whose rows Spark cannot cut."""
+    folder = records._text_folder(spark, documents)
+    assert (spark.sparkContext.applicationId, documents, "lines") not in inputs._WRITTEN
+    assert spark.read.text(folder).count() == 900
 
 
 def test_dropped_shuffles(spark, tmp_path):
